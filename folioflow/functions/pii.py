@@ -378,7 +378,7 @@ def count_entities(spans: Column) -> Column:
 def card_shapes_only(text: Column) -> Column:
     """How many card-shaped numbers fail the check digit (and so stay)."""
     return F.when(
-        text.rlike(CARD_PATTERN),
+        text.rlike("[0-9]") & text.rlike(CARD_PATTERN),
         F.size(
             F.filter(
                 F.regexp_extract_all(text, F.lit(CARD_PATTERN), F.lit(0)),

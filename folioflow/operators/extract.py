@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow import schemas
+from folioflow.functions.plan import once
 from folioflow.functions.text import join_parts, ordered_text, strip
 
 
@@ -39,12 +40,14 @@ def flatten_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:
             listed(segment["image"]["text_lines"], lambda line: line["text"]),
         )
 
-    parsed = results.withColumn("_segments", F.from_json("segments_json", schemas.SEGMENTS))
     carried = [c for c in results.columns if c != "segments_json"]
-    documents = parsed.filter(F.col("_segments").isNotNull()).select(
-        *carried, join_parts(F.flatten(F.transform("_segments", one))).alias("text")
+    parsed = once(
+        results,
+        F.from_json("segments_json", schemas.SEGMENTS),
+        lambda segments: {"text": join_parts(F.flatten(F.transform(segments, one)))},
     )
-    errors = parsed.filter(F.col("_segments").isNull()).select(
+    documents = parsed.filter(F.col("text").isNotNull()).select(*carried, "text")
+    errors = parsed.filter(F.col("text").isNull()).select(
         *carried, F.lit("extraction result is not readable").alias("reason")
     )
     return documents, errors

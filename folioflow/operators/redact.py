@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import pii
 from folioflow.functions.pii import RedactionSettings
+from folioflow.functions.plan import once
 from folioflow.functions.text import is_blank
 
 DEFAULT = RedactionSettings()
@@ -88,7 +89,8 @@ def redact_text(
     settings: RedactionSettings = DEFAULT,
     extra_spans: DataFrame | None = None,
 ) -> DataFrame:
-    """Documents with ``text`` redacted, plus ``entity_counts`` and ``engine``.
+    """Documents with ``text`` redacted, plus ``entity_counts``, ``card_shapes``
+    (card-shaped numbers with a wrong check digit, which stay) and ``engine``.
 
     Blank text is returned as it is. Counts are over hits before overlaps are
     resolved. ``extra_spans`` (names, say) are joined by document key; without
@@ -97,15 +99,11 @@ def redact_text(
     no_counts = F.expr("CAST(map() AS map<string,int>)")
     if not settings.enabled:
         return documents.withColumns(
-            {"entity_counts": no_counts, "engine": F.lit("disabled")}
+            {"entity_counts": no_counts, "card_shapes": F.lit(0), "engine": F.lit("disabled")}
         )
-    base = [c for c in documents.columns if c not in ("entity_counts", "engine")]
-    scanned = documents.select(
-        *base,
-        F.when(is_blank(F.col("text")), F.expr(pii.EMPTY_SPANS))
-        .otherwise(pii.text_spans(F.col("text"), settings))
-        .alias("_spans"),
-    )
+    base = documents.drop("entity_counts", "card_shapes", "engine")
+    text = F.col("text")
+    found = F.when(is_blank(text), F.expr(pii.EMPTY_SPANS)).otherwise(pii.text_spans(text, settings))
     if extra_spans is not None:
         extra = (
             extra_spans.filter(F.col("entity").isin(*settings.entities))
@@ -117,23 +115,18 @@ def redact_text(
                 .alias("_extra")
             )
         )
-        scanned = scanned.join(extra, "doc_key", "left").withColumn(
-            "_spans",
-            F.concat("_spans", F.coalesce("_extra", F.expr(pii.EMPTY_SPANS))),
-        )
-    hit = F.size("_spans") > 0
-    return scanned.select(
-        *[
-            F.when(hit, pii.replace_spans(F.col("text"), pii.resolve_spans(F.col("_spans"))))
-            .otherwise(F.col("text"))
-            .alias("text")
-            if c == "text"
-            else F.col(c)
-            for c in base
-        ],
-        F.when(hit, pii.count_entities(F.col("_spans"))).otherwise(no_counts).alias("entity_counts"),
-        F.lit("rules").alias("engine"),
-    )
+        base = base.join(extra, "doc_key", "left")
+        found = F.concat(found, F.coalesce("_extra", F.expr(pii.EMPTY_SPANS)))
+
+    def results(spans):
+        hit = F.size(spans) > 0
+        return {
+            "text": F.when(hit, pii.replace_spans(text, pii.resolve_spans(spans))).otherwise(text),
+            "entity_counts": F.when(hit, pii.count_entities(spans)).otherwise(no_counts),
+            "card_shapes": pii.card_shapes_only(text),
+        }
+
+    return once(base, found, results).drop("_extra").withColumn("engine", F.lit("rules"))
 
 
 def redact_person_names(documents: DataFrame, names: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
@@ -195,10 +188,15 @@ def redaction_audit(documents: DataFrame) -> DataFrame:
     """Hits by entity, extractor and language with subtotals; never the values.
 
     Takes redacted documents (``entity_counts``); a NULL in a grouping column
-    marks a subtotal over it.
+    marks a subtotal over it. ``CARD_SHAPE_ONLY`` counts numbers that stayed.
     """
-    hits = documents.select(
-        "extractor", "lang", F.explode("entity_counts").alias("entity", "n")
+    shapes = F.when(
+        F.col("card_shapes") > 0, F.create_map(F.lit("CARD_SHAPE_ONLY"), F.col("card_shapes"))
+    ).otherwise(F.expr("CAST(map() AS map<string,int>)"))
+    hits = (
+        documents.select("extractor", "lang", F.map_concat("entity_counts", shapes).alias("counts"))
+        .select("extractor", "lang", F.explode_outer("counts").alias("entity", "n"))
+        .filter(F.col("entity").isNotNull())
     )
     return hits.rollup("entity", "extractor", "lang").agg(
         F.sum("n").alias("hits"), F.count(F.lit(1)).alias("documents")
@@ -225,11 +223,9 @@ def redaction_gate(
     if names_required:
         if names is None or "name" not in names.columns or names.isEmpty():
             raise RedactionUnavailable("redaction is on but the list of names is missing or empty")
-    left = F.size(pii.text_spans(F.col("text"), settings))
-    return documents.withColumn(
-        "text",
-        F.when(
-            left > 0,
-            F.raise_error(F.concat(F.lit("personal data left in document "), F.col("doc_key").cast("string"))),
-        ).otherwise(F.col("text")),
+    message = F.concat(F.lit("personal data left in document "), F.col("doc_key").cast("string"))
+    return once(
+        documents,
+        F.size(pii.text_spans(F.col("text"), settings)),
+        lambda left: {"text": F.when(left > 0, F.raise_error(message)).otherwise(F.col("text"))},
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.plan import once
 from folioflow.functions.text import words
 
 # The openings that are nothing but small talk, the shape of a
@@ -104,18 +105,17 @@ def recover_tool_calls(replies: DataFrame) -> DataFrame:
         F.call_function("try_parse_json", raw),
         F.call_function("try_parse_json", F.replace(raw, F.lit("\\'"), F.lit("'"))),
     )
-    variant = F.call_function("try_variant_get", F.col("_args"), F.lit("$.question"), F.lit("variant"))
-    is_text = F.call_function("schema_of_variant", variant) == "STRING"
-    question = F.call_function("try_variant_get", F.col("_args"), F.lit("$.question"), F.lit("string"))
-    return (
-        replies.withColumn("_args", parsed)
-        .withColumn("question", F.when(is_text & (question != ""), question))
-        .withColumn(
-            "tool_name",
-            F.when(F.col("question").isNotNull(), F.regexp_extract("text", LEAKED_CALL, 1)),
-        )
-        .drop("_args")
-    )
+
+    def read(args: Column) -> dict[str, Column]:
+        variant = F.call_function("try_variant_get", args, F.lit("$.question"), F.lit("variant"))
+        text = F.call_function("try_variant_get", args, F.lit("$.question"), F.lit("string"))
+        usable = (F.call_function("schema_of_variant", variant) == "STRING") & (text != "")
+        return {
+            "tool_name": F.when(usable, F.regexp_extract("text", LEAKED_CALL, 1)),
+            "question": F.when(usable, text),
+        }
+
+    return once(replies, parsed, read)
 
 
 def _by_extractor(templates: dict[str, str], other: Column, build) -> Column:
