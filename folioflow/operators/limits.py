@@ -164,10 +164,11 @@ def purge_plan(
     folders, by an equi-join. Batches fill in the order of the key's hash, whose
     first digits also cut a prefix of any size into even stretches.
     """
-    depth = F.size(F.split("key", "/")) - 1
+    parts = F.split("key", "/")
+    depth = F.size(parts) - 1
     parents = F.transform(
         F.when(depth > 0, F.sequence(F.lit(1), depth)),
-        lambda n: F.concat(F.substring_index("key", "/", n), F.lit("/")),
+        lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")),
     )
     candidates = objects.select("key", F.explode(parents).alias("prefix"))
     inside = candidates.join(prefixes.select("prefix").distinct(), "prefix")
