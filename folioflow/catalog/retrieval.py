@@ -111,7 +111,7 @@ def _centres(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 WITH parts AS (SELECT label, unnest(range(1, 65)) AS place, unnest(embedding)::DOUBLE AS v FROM embeddings),
 means AS (SELECT label, place, avg(v) AS v FROM parts GROUP BY 1, 2),
 centres AS (SELECT label, list(v ORDER BY place) AS c FROM means GROUP BY label),
-scored AS (SELECT label AS query_id, vec_id AS id, round(list_cosine_similarity(c, embedding::DOUBLE[]), 6) AS score
+scored AS (SELECT centres.label AS query_id, vec_id AS id, round(list_cosine_similarity(c, embedding::DOUBLE[]), 6) AS score
            FROM centres, embeddings)
 SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id))::INT AS rank FROM scored QUALIFY rank <= 5
 """,

@@ -16,6 +16,7 @@ from folioflow.operators.memory import KEPT_ROLES, LAST_K, TURN_DAYS
 from folioflow.sources.sinks import read_or_empty
 
 CHUNKS = "chunk_id STRING, doc_key STRING, chunk_no INT, text STRING"
+# Spelled out where it is used in workers, which have no session to parse it.
 HISTORY = "session_id STRING, position INT, seq BIGINT, role STRING, text STRING"
 
 
@@ -98,7 +99,9 @@ class NewestMessages(StatefulProcessor):
         self.k = k
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType.fromDDL("seq BIGINT, role STRING, text STRING")
+        schema = (
+            T.StructType().add("seq", T.LongType()).add("role", T.StringType()).add("text", T.StringType())
+        )
         self.kept = handle.getListState(
             "kept", schema, ttlDurationMs=TURN_DAYS * 24 * 3600 * 1000
         )
