@@ -16,19 +16,29 @@ from folioflow.operators.memory import KEPT_ROLES, LAST_K, TURN_DAYS
 from folioflow.sources.sinks import read_or_empty
 
 CHUNKS = "chunk_id STRING, doc_key STRING, chunk_no INT, text STRING"
-# Spelled out where it is used in workers, which have no session to parse it.
 HISTORY = "session_id STRING, position INT, seq BIGINT, role STRING, text STRING"
 
 
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append"):
-    """Work through what has arrived, batch by batch, then stop."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(each)
-        .start()
-    )
+    """Work through what has arrived, batch by batch, then stop.
+
+    State with a processing-time TTL asks for one more batch after every batch,
+    so without this setting such a run would go on with empty batches for ever.
+    The query copies its settings when it starts; the session's are put back.
+    """
+    settings, name = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = settings.get(name, "true")
+    settings.set(name, "false")
+    try:
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(each)
+            .start()
+        )
+    finally:
+        settings.set(name, before)
     query.awaitTermination()
     return query
 
@@ -99,6 +109,7 @@ class NewestMessages(StatefulProcessor):
         self.k = k
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        # Spelled out, as a worker has no session to parse a schema string.
         schema = (
             T.StructType().add("seq", T.LongType()).add("role", T.StringType()).add("text", T.StringType())
         )
