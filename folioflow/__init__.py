@@ -1,3 +1,9 @@
-"""folioflow: document corpora and chat logs as Spark table jobs."""
+"""folioflow: a corpus and chat-log engine on Spark."""
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors travel by value, so that workers need no copy of
+# this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

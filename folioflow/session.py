@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,8 @@ SESSION_CONF = {
     ),
 }
 
+REMEMBERED = "folioflow.shared.dir"
+
 
 def build_session(app: str = "folioflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` adds to or overrides them.
@@ -38,17 +41,19 @@ def build_session(app: str = "folioflow", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as
-    in tests, a local folder is made and remembered for the session.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local
+    master, whose tasks all run on this machine, gets a temporary folder that is
+    remembered in the session; any other master is refused, as executors would
+    each write to a disk of their own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="folioflow-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", folder)
-        except Exception:  # static in this Spark version: remember it beside
-            folder = spark.conf.get("folioflow.shared.dir", None) or folder
-            spark.conf.set("folioflow.shared.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(REMEMBERED, None)
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    folder = tempfile.mkdtemp(prefix="folioflow-")
+    spark.conf.set(REMEMBERED, folder)
     return folder
 
 
