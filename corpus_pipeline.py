@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import quality_bands, toxicity
+from folioflow.llm import bpe_trie, decontaminate, quality_bands, simhash_ring, toxicity
 from folioflow.session import new_run_folder
 
 
@@ -18,9 +19,24 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_bands.keep_good(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash_ring.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe_trie.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality rules", keep_good),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("BPE encoding and decoding", encode),
 ]
 
 # No stage but the decontamination can be said in SQL.

@@ -74,3 +74,10 @@ def keep(docs: DataFrame, columns: list[str], make: Callable[[], Callable[..., l
 
     return docs.mapInArrow(run, docs.schema)
 
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until the frame has no such column."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
