@@ -39,7 +39,7 @@ def measure(
     The kernel returns a dict of lists by the names in the DDL ``measured``.
     Only the named columns are read, so other columns never clash.
     """
-    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias(free_name(docs, "_text")))
     new = StructType.fromDDL(measured)
     schema = StructType(rows.schema.fields[:-1] + new.fields)
     names = [f.name for f in new.fields]

@@ -207,8 +207,6 @@ class Codec:
 
     def _learn(self, words: set[str]) -> None:
         """Encodes the words that are not known, in one trie."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {c: self.known[c] for c in self.specials}
         as_bytes = {w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(TO_BYTES): w for w in words}
         gc.disable()  # a trie is many small dicts without cycles
         try:
@@ -224,11 +222,9 @@ class Codec:
     def __call__(self, texts: list[bytes | None]) -> dict[str, list]:
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         cut = [self._words(t.decode("utf-8", "replace")) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.known)
-        if new:
-            self._learn(new)
-            if missing := set().union(*cut).difference(self.known):  # after the bound was met
-                self._learn(missing)
+        if len(self.known) > KNOWN_WORDS:
+            self.known = {c: self.known[c] for c in self.specials}
+        self._learn(set().union(*cut).difference(self.known))
         for words in cut:
             coded = [self.known[w] for w in words]
             ids = b"".join([c[0] for c in coded])

@@ -59,8 +59,9 @@ RULES = [
     ("reserved", "proprietary", "reserved", ["all-rights-reserved"]),
 ]
 
-# Every known sentence has one of these; texts without them are not cut at all.
-ANCHORS = r"(?i)licen|permission|warrant|no event|free software|general public|rights\s+reserved"
+# Each rule's first sentence has one of these, and each sentence one of these or
+# those below; texts without the former are not cut at all.
+ANCHORS = r"(?i)licen|permission|warrant|no\s+event|rights\s+reserved"
 MARK = "\x1e"
 
 
@@ -87,7 +88,7 @@ def sentence_ids(text: Column) -> Column:
     one = lambda s: F.when(look(s).isNotNull(), F.array(look(s))).otherwise(
         F.filter(F.transform(F.split(s, "\n"), look), lambda i: i.isNotNull())
     )
-    anchored = F.filter(sentences(text), lambda s: s.rlike(ANCHORS) | s.rlike(r"obtain a copy"))
+    anchored = F.filter(sentences(text), lambda s: s.rlike(ANCHORS) | s.rlike(r"(?i)obtain\s+a\s+copy"))
     return F.when(text.rlike(ANCHORS), F.flatten(F.transform(anchored, one))).otherwise(
         F.array().cast("array<string>")
     )

@@ -33,7 +33,7 @@ from folioflow.llm.batches import keep, measure
 WORD = re.compile(r"\w+")
 PREFIXES = (0, 3, 4, 5, 6)  # 0: the whole word
 WIDTHS = {1: 12, 2: 4, 3: 4}  # filters by width
-PAD = 2  # zero rows after each text: no window reaches the next text
+PAD = 2  # zero rows after each text: windows from its words stay within it
 KNOWN_WORDS = 300_000
 SEGMENT = 65_536
 
@@ -95,14 +95,16 @@ def words_of(raw: bytes | None) -> list[str]:
 # ---------------------------------------------------------------- forward
 
 
-def responses(vectors: np.ndarray, model: Model) -> list[np.ndarray]:
-    """Per width, the filters' answers at each place of padded vectors."""
+def responses(vectors: np.ndarray, known: np.ndarray, model: Model) -> list[np.ndarray]:
+    """Per width, the filters' answers to the windows from each place of padded
+    vectors. At the padding, whose windows may reach the next text, they are 0."""
     out = []
     for width, filters in model.filters.items():
         n = len(vectors)
         answer = vectors @ filters[0]
         for step in range(1, width):
             answer[: n - step] += vectors[step:] @ filters[step]
+        answer[~known] = 0
         out.append(answer)
     return out
 
@@ -159,8 +161,10 @@ class Scorer:
     def _pool(self, best: np.ndarray, owners: list[int], parts: list[np.ndarray]) -> None:
         self._learn()
         places, starts = padded(parts)
-        vectors = np.where((places >= 0)[:, None], self.rows[places], np.float32(0))
-        pooled = np.concatenate([np.maximum.reduceat(r, starts) for r in responses(vectors, self.model)], axis=1)
+        known = places >= 0
+        vectors = np.where(known[:, None], self.rows[places], np.float32(0))
+        answers = responses(vectors, known, self.model)
+        pooled = np.concatenate([np.maximum.reduceat(r, starts) for r in answers], axis=1)
         np.maximum.at(best, np.array(owners), pooled)
         if len(self.vocabulary) > KNOWN_WORDS:
             self.reset()
@@ -294,7 +298,7 @@ def _train(model: Model, places, toxic, pieces, trained, settings: Settings, ran
             rows = pieces[np.where(known, at, 0)]
             vectors = gather(model.tables, rows) * known[:, None]
             ends = [*starts[1:], len(at)]
-            answers = responses(vectors, model)
+            answers = responses(vectors, known, model)
             where = np.concatenate(
                 [np.stack([a + r[a:b].argmax(axis=0) for a, b in zip(starts, ends)]) for r in answers], axis=1
             )
@@ -309,9 +313,10 @@ def _train(model: Model, places, toxic, pieces, trained, settings: Settings, ran
             moved = np.zeros_like(vectors)
             for k, (width, filters) in enumerate(model.filters.items()):
                 grad = np.zeros_like(filters)
-                piece = back[:, offsets[k] : offsets[k + 1]].astype(np.float32)
+                own = where[:, offsets[k] : offsets[k + 1]]
+                piece = (back[:, offsets[k] : offsets[k + 1]] * known[own]).astype(np.float32)
                 for offset in range(width):
-                    place = np.minimum(where[:, offsets[k] : offsets[k + 1]] + offset, len(vectors) - 1)
+                    place = np.minimum(own + offset, len(vectors) - 1)
                     grad[offset] = np.einsum("tf,tfd->df", piece, vectors[place])
                     np.add.at(moved, place, piece[:, :, None] * filters[offset].T[None])
                 grads.append(grad)
