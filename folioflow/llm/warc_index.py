@@ -231,7 +231,11 @@ def capture_history(archives: DataFrame) -> DataFrame:
         yield _batch(merged)
 
     order = [F.col("url_key"), F.col("captured_at"), F.col("page_id").asc_nulls_first(), F.col("archive"), F.col("offset")]
-    runs = archives.repartition("archive").mapInArrow(read, INDEX)
+    # A task for each archive or so, whatever the few bytes of their names. The
+    # runs are kept, as dealing them to ranges reads them twice.
+    path = f"{new_run_folder(archives.sparkSession, 'capture-runs')}/runs"
+    archives.repartition(max(1, archives.count())).mapInArrow(read, INDEX).write.parquet(path)
+    runs = archives.sparkSession.read.schema(INDEX).parquet(path)
     # Each run comes sorted out of its archive; a range gets a piece of each.
     return runs.repartitionByRange(*order).sortWithinPartitions("archive", *order[:3], "offset").mapInArrow(merge, INDEX)
 
