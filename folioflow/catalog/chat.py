@@ -315,7 +315,7 @@ def validate_calls(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "ticket_rows",
     """
-SELECT event_id AS call_id, 'SMAX-' || upper(substr(md5(event_id::VARCHAR), 1, 6)) AS ticket_id, 'created' AS status,
+SELECT event_id AS call_id, 'SMAX-' || upper(md5(event_id::VARCHAR)) AS ticket_id, 'created' AS status,
   event_type AS category, props || CASE WHEN value >= 50 THEN ' (user=' || user_id || ', day=' || strftime(ts, '%Y-%m-%d') || ')' ELSE '' END AS summary
 FROM events WHERE event_type = 'purchase' AND value >= 20
 """,

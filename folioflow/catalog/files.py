@@ -163,8 +163,12 @@ def sniff_text(spark: SparkSession, folder: str) -> DataFrame:
     "decode_plaintext",
     f"""
 WITH {CLASSIFIED}
+, bytes AS (SELECT *, hex(encode(text)) AS hx, octet_length(encode(text)) AS n FROM classified)
 SELECT doc_key, filename, 'plaintext' AS extractor, text || chr(65533) AS text
-FROM classified WHERE modality = 'text' OR modality IS NULL
+FROM bytes WHERE modality = 'text' OR (modality IS NULL AND CASE
+  -- The bad byte is in the block: without the last four bytes it has to end on a whole character.
+  WHEN n < 8192 THEN n <= 3 OR NOT substr(hx, 2 * (n - 3) + 1, 2) BETWEEN '80' AND 'BF'
+  ELSE NOT substr(hx, 2 * 8192 + 1, 2) BETWEEN '80' AND 'BF' OR NOT substr(hx, 2 * 8188 + 1, 2) BETWEEN '80' AND 'BF' END)
 """,
 )
 def decode_plaintext(spark: SparkSession, folder: str) -> DataFrame:

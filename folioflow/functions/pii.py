@@ -277,7 +277,8 @@ def rule_spans(text: Column, rule: Rule, threshold: float) -> Column:
     gate = text.rlike(rule.pattern)
     if rule.score < threshold:
         # A weak shape can only count beside one of its context words.
-        gate = gate & text.rlike("(?iu)" + "|".join(rule.context))
+        # Words of one context may stand on two lines.
+        gate = gate & text.rlike("(?iu)" + "|".join(c.replace(" ", r"\s+") for c in rule.context))
     return F.when(gate, spans.cast(SPAN_TYPE)).otherwise(F.expr(EMPTY_SPANS))
 
 

@@ -9,6 +9,8 @@ bucket, and what crosses buckets is carried over a table of one small row per
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     return (
-        cut.join(offsets, [*keys, "_bucket"])
+        _matched(cut, offsets, [*keys, "_bucket"])
         .withColumn("position", F.row_number().over(inside) + F.col("_before"))
         .drop("_bucket", "_before")
     )
@@ -48,9 +50,16 @@ def last_before(
         *keys, "_bucket", F.last("_latest", ignorenulls=True).over(before).alias("_carried")
     )
     return (
-        cut.join(carried, [*keys, "_bucket"])
+        _matched(cut, carried, [*keys, "_bucket"])
         .withColumn(
             name, F.coalesce(F.last("_value", ignorenulls=True).over(inside), F.col("_carried"))
         )
         .drop("_bucket", "_value", "_carried")
     )
+
+
+def _matched(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of ``small``; a NULL key meets a NULL key."""
+    named = small.withColumnsRenamed({k: f"_at_{k}" for k in keys})
+    same = reduce(and_, [rows[k].eqNullSafe(named[f"_at_{k}"]) for k in keys])
+    return rows.join(named, same).drop(*[f"_at_{k}" for k in keys])

@@ -91,7 +91,9 @@ def embed_with_model(chunks: DataFrame, embed_batch, dims: int) -> DataFrame:
     def run(batches):
         model = embed_batch()
         for frame in batches:
-            vectors = model(list(frame["text"]))
-            yield frame[["chunk_id"]].assign(embedding=[list(map(float, v))[:dims] for v in vectors])
+            vectors = [list(map(float, v)) for v in model(list(frame["text"]))]
+            if any(len(v) != dims for v in vectors):
+                raise ValueError(f"the model's vectors do not have {dims} values")
+            yield frame[["chunk_id"]].assign(embedding=vectors)
 
     return chunks.select("chunk_id", "text").mapInPandas(run, "chunk_id string, embedding array<float>")

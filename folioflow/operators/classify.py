@@ -94,7 +94,7 @@ def classify_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 def decode_plaintext(classified: DataFrame) -> DataFrame:
     """Text files as documents, bad bytes as the replacement character."""
     return classified.filter(F.col("modality") == "text").select(
-        *[c for c in classified.columns if c != "content"],
+        *[c for c in classified.columns if c not in ("content", "extractor")],
         F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
         F.lit("plaintext").alias("extractor"),
     )

@@ -83,8 +83,8 @@ def _tidy(text: Column) -> Column:
 
 
 def word_set(text: Column) -> Column:
-    """Distinct lower-cased words of letters and digits, longer than two."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]{3,}"), F.lit(0))
+    """Distinct lower-cased words of letters and digits."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     return F.array_distinct(found)
 
 

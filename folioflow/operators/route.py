@@ -10,13 +10,8 @@ from folioflow.functions.text import words
 
 # The openings that are nothing but small talk, the shape of a
 # call that leaked into a reply, section headers, labels and limits.
-SMALL_TALK = (
-    r"hi|hello|hey|yo|sup|what'?s\s*up|how'?s\s*it\s*going|how\s*are\s*you|"
-    r"good\s*(morning|afternoon|evening)|thanks|thank\s*you|bye|goodbye"
-)
-GREETING = rf"(?iu)^\s*({SMALL_TALK})\s*(everyone|everybody)?\s*[!.?]*\s*$"
-TOOL_NAMES = "ask_hr|ask_safety|ask_operations"
-LEAKED_CALL = rf'(?s)\{{\s*"name"\s*:\s*"({TOOL_NAMES})"\s*,\s*"parameters"\s*:\s*(\{{.*\}})\s*\}}'
+GREETING = r"""(?iu)^\s*(hi|hello|hey|yo|sup|what'?s\s*up|how'?s\s*it\s*going|how\s*are\s*you|good\s*(morning|afternoon|evening)|thanks|thank\s*you|bye|goodbye)\s*(everyone|everybody)?\s*[!.?]*\s*$"""  # noqa: E501
+LEAKED_CALL = r'''(?s)\{\s*"name"\s*:\s*"(ask_hr|ask_safety|ask_operations)"\s*,\s*"parameters"\s*:\s*(\{.*\})\s*\}'''
 SECTION_HEADERS = {
     "vision": 'What the image "{name}" shows',
     "bda": 'Contents of "{name}"',

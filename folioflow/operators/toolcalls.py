@@ -65,9 +65,7 @@ def ticket_rows(valid: DataFrame) -> DataFrame:
     summary = F.col("args")["summary"]
     return valid.filter(F.col("tool") == "create_ticket").select(
         "call_id",
-        F.concat(
-            F.lit("SMAX-"), F.upper(F.substring(F.md5(F.col("call_id").cast("string")), 1, 6))
-        ).alias("ticket_id"),
+        F.concat(F.lit("SMAX-"), F.upper(F.md5(F.col("call_id").cast("string")))).alias("ticket_id"),
         F.lit("created").alias("status"),
         F.col("args")["category"].alias("category"),
         F.when(

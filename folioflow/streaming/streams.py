@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from folioflow.operators.chunks import chunk_fixed
 from folioflow.operators.limits import RATE_LIMIT
 from folioflow.operators.memory import KEPT_ROLES, LAST_K, TURN_DAYS
+from folioflow.session import SESSION_CONF
 from folioflow.sources.sinks import read_or_empty
 
 CHUNKS = "chunk_id STRING, doc_key STRING, chunk_no INT, text STRING"
@@ -23,12 +24,18 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     """Work through what has arrived, batch by batch, then stop.
 
     State with a processing-time TTL asks for one more batch after every batch,
-    so without this setting such a run would go on with empty batches for ever.
-    The query copies its settings when it starts; the session's are put back.
+    so without the first setting such a run would go on with empty batches for
+    ever; and such state needs the store of the second. The query copies its
+    settings when it starts; the session's are put back.
     """
-    settings, name = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = settings.get(name, "true")
-    settings.set(name, "false")
+    settings = stream.sparkSession.conf
+    needed = {
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        "spark.sql.streaming.stateStore.providerClass": SESSION_CONF["spark.sql.streaming.stateStore.providerClass"],
+    }
+    before = {name: settings.get(name, None) for name in needed}
+    for name, value in needed.items():
+        settings.set(name, value)
     try:
         query = (
             stream.writeStream.outputMode(mode)
@@ -38,7 +45,8 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
             .start()
         )
     finally:
-        settings.set(name, before)
+        for name, value in before.items():
+            settings.unset(name) if value is None else settings.set(name, value)
     query.awaitTermination()
     return query
 
