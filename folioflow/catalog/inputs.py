@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.operators import cache
-from folioflow.session import spread
 
 SUFFIXES = ".txt .pdf .png .mp3 .mp4 .xlsx .docx .csv .md .jpg .wav .zip".split()
 
@@ -27,8 +26,8 @@ def filename(doc_id: Column) -> Column:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_key BIGINT, text, lang, source), over as many tasks as cores."""
-    return spread(table(spark, folder, "documents")).select(
+    """(doc_key BIGINT, text, lang, source)."""
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("doc_key"), "text", "lang", "source"
     )
 

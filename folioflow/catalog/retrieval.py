@@ -125,7 +125,41 @@ def search_vectors_lsh(spark: SparkSession, folder: str) -> DataFrame:
     return passages.search_vectors_lsh(*_centres(spark, folder))
 
 
-@query("search_pages")
+def _tidy_sql(text: str) -> str:
+    for entity, character in (
+        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+        ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+    ):
+        text = f"replace({text}, '{entity}', '{character}')"
+    white = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    return rf"regexp_replace(regexp_replace({text}, '[ \t-\r]+', ' ', 'g'), '\A[{white}]+|[{white}]+\z', '', 'g')"
+
+
+_BARE_SQL = (
+    r"regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>"
+    r"|<!--.*?-->|<[^>]+>', ' ', 'g')"
+)
+_WORDS_SQL = r"list_distinct(regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+'))"
+
+
+@query(
+    "search_pages",
+    rf"""
+WITH page AS (
+  SELECT page_id, url, {_tidy_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, {_tidy_sql(_BARE_SQL)} AS body
+  FROM pages),
+held AS (SELECT page_id, unnest({_WORDS_SQL.format("concat_ws(' ', title, body)")}) AS word FROM page),
+asked AS (SELECT item_id, unnest({_WORDS_SQL.format("text")}) AS word FROM benchmark),
+counted AS (SELECT item_id, page_id, count(*) AS n FROM asked JOIN held USING (word) GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY n DESC, page_id) AS rank FROM counted QUALIFY rank <= 5),
+found AS (
+  SELECT item_id, string_agg(title || chr(10) || body || chr(10) || 'Source: ' || url, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS results
+  FROM ranked JOIN page USING (page_id) GROUP BY item_id)
+SELECT item_id AS query_id, coalesce(results, 'No web results found for ' || chr(39) || text || chr(39) || '.') AS answer
+FROM benchmark LEFT JOIN found USING (item_id)
+""",
+)
 def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     asked = inputs.questions(spark, folder).withColumnRenamed("id", "query_id")
     return passages.search_pages(asked, inputs.table(spark, folder, "pages"))

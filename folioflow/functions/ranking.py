@@ -26,7 +26,7 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     return (
-        _matched(cut, offsets, [*keys, "_bucket"])
+        matched(cut, offsets, [*keys, "_bucket"])
         .withColumn("position", F.row_number().over(inside) + F.col("_before"))
         .drop("_bucket", "_before")
     )
@@ -50,7 +50,7 @@ def last_before(
         *keys, "_bucket", F.last("_latest", ignorenulls=True).over(before).alias("_carried")
     )
     return (
-        _matched(cut, carried, [*keys, "_bucket"])
+        matched(cut, carried, [*keys, "_bucket"])
         .withColumn(
             name, F.coalesce(F.last("_value", ignorenulls=True).over(inside), F.col("_carried"))
         )
@@ -58,7 +58,7 @@ def last_before(
     )
 
 
-def _matched(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+def matched(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows`` with the columns of ``small``; a NULL key meets a NULL key."""
     named = small.withColumnsRenamed({k: f"_at_{k}" for k in keys})
     same = reduce(and_, [rows[k].eqNullSafe(named[f"_at_{k}"]) for k in keys])

@@ -8,15 +8,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.functions.ranking import position_in_group
+from folioflow.functions.ranking import matched, position_in_group
 
-# Requests per window, alert thresholds, delete batch, retention
-# by key prefix in days, and list prices per unit by (extractor, modality).
+# Requests per window, alert thresholds, delete batch, longest key
+# of an object store, retention by key prefix in days, and list prices per unit by (extractor, modality).
 RATE_LIMIT = 2000
 RATE_MINUTES = 5
 BUDGET_THRESHOLDS = (50.0, 90.0)
 FORECAST_THRESHOLD = 100.0
 DELETE_BATCH = 1000
+MAX_KEY = 1024
 RETENTION_DAYS = {"uploads/": 1, "bda-output/": 1}
 PRICES = {
     ("vision", "image"): 0.001,
@@ -32,42 +33,69 @@ TABLES_SURCHARGE = 0.015
 def rate_limit(requests: DataFrame, n: int = RATE_LIMIT, minutes: int = RATE_MINUTES) -> DataFrame:
     """Requests whose key made more than ``n`` in the trailing window.
 
-    Adds ``in_window``; both ends of the window count. First only counts per
-    (key, bucket) are shuffled: a bucket can hold a flagged request only if it
-    and the one before it hold more than ``n`` together. Rows of those buckets
-    alone go on, and each is also shown to the next bucket, so a window
-    function never sees more than two buckets of one key.
+    Adds ``in_window``; both ends of the window count. Requests are first summed
+    to (key, instant) before any shuffle, and only instants in or right before a
+    stretch of ``minutes`` that can hold a flagged request go on. A window's
+    count is the difference of two running counts, each put together from those
+    of the second, the hour and the key, so no task holds more of a key than the
+    instants of a second, the seconds of an hour or its hours. Requests without
+    a key are one group; those without a time are never flagged.
     """
     width = minutes * 60 * 1_000_000
-    stamped = requests.withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp"))).withColumn(
-        "_bucket", F.floor(F.col("_us") / width)
+    stamped = requests.withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    ticks = (
+        stamped.filter(F.col("_us").isNotNull())
+        .groupBy("key", "_us")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bucket", F.floor(F.col("_us") / width))
     )
-    counts = stamped.groupBy("key", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    near = lambda first, last: F.explode(
+        F.sequence(F.col("_bucket") + first, F.col("_bucket") + last)
+    ).alias("_bucket")
     busy = (
-        counts.select(
-            "key", F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_bucket"), "_n"
-        )
+        ticks.groupBy("key", "_bucket")
+        .agg(F.sum("_n").alias("_n"))
+        .select("key", near(0, 1), "_n")
         .groupBy("key", "_bucket")
         .agg(F.sum("_n").alias("_n"))
         .filter(F.col("_n") > n)
-        .select("key", "_bucket")
+        .select("key", near(-1, 0))
+        .distinct()
     )
-    shown = stamped.withColumn(
-        "_show",
-        F.explode(
-            F.array(
-                F.struct(F.col("_bucket").alias("b"), F.lit(True).alias("own")),
-                F.struct((F.col("_bucket") + 1).alias("b"), F.lit(False).alias("own")),
-            )
-        ),
-    ).withColumns({"_bucket": F.col("_show.b"), "_own": F.col("_show.own")})
-    trailing = Window.partitionBy("key", "_bucket").orderBy("_us").rangeBetween(-width, 0)
-    return (
-        shown.join(busy, ["key", "_bucket"], "left_semi")
-        .withColumn("in_window", F.count(F.lit(1)).over(trailing))
-        .filter(F.col("_own") & (F.col("in_window") > n))
-        .drop("_us", "_bucket", "_show", "_own")
+    # One event adds the requests of an instant, the other asks for the count
+    # before the instant's window; at the same time it comes first.
+    begin, own = F.struct((F.col("_us") - width).alias("at"), F.lit(False).alias("own")), F.struct(
+        F.col("_us").alias("at"), F.lit(True).alias("own")
+    )
+    events = (
+        matched(ticks, busy, ["key", "_bucket"])
+        .select("key", "_us", "_n", F.explode(F.array(begin, own)).alias("_e"))
+        .select(
+            "key", "_us", "_e.at", "_e.own",
+            F.when(F.col("_e.own"), F.col("_n")).otherwise(0).alias("_n"),
+            F.floor(F.col("_e.at") / 1_000_000).alias("_second"),
+        )
+        .withColumn("_hour", F.floor(F.col("_second") / 3600))
+    )
+    seconds = events.groupBy("key", "_hour", "_second").agg(F.sum("_n").alias("_n"))
+    hours = seconds.groupBy("key", "_hour").agg(F.sum("_n").alias("_n"))
+    earlier = lambda keys, order: F.coalesce(
+        F.sum("_n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    before_hour = hours.select("key", "_hour", earlier(["key"], "_hour").alias("_to_hour"))
+    before_second = matched(
+        seconds.select("key", "_hour", "_second", earlier(["key", "_hour"], "_second").alias("_to_second")),
+        before_hour,
+        ["key", "_hour"],
+    ).select("key", "_second", (F.col("_to_second") + F.col("_to_hour")).alias("_before"))
+    inside = Window.partitionBy("key", "_second").orderBy("at", "own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = matched(events, before_second, ["key", "_second"]).withColumn("_upto", F.sum("_n").over(inside) + F.col("_before"))
+    flagged = (
+        running.groupBy("key", "_us")
+        .agg(F.sum(F.when(F.col("own"), F.col("_upto")).otherwise(-F.col("_upto"))).alias("in_window"))
+        .filter(F.col("in_window") > n)
     )
+    return matched(stamped, flagged, ["key", "_us"]).drop("_us")
 
 
 def budget_alerts(spend: DataFrame, limit: float) -> DataFrame:
@@ -156,22 +184,24 @@ def retention_plan(
 
 
 def purge_plan(
-    objects: DataFrame, prefixes: DataFrame, batch: int = DELETE_BATCH, hash_digits: int = 2
+    objects: DataFrame, prefixes: DataFrame, batch: int = DELETE_BATCH, hash_digits: int = 4
 ) -> DataFrame:
     """(prefix, batch_no, key): what to delete, ``batch`` keys at a time.
 
-    ``prefixes(prefix)`` end in "/". A key meets them through its own parent
-    folders, by an equi-join. Batches fill in the order of the key's hash, whose
-    first digits also cut a prefix of any size into even stretches.
+    A key is under a prefix if it starts with it, whatever the prefix ends in.
+    Keys meet prefixes by an equi-join on their beginnings, one for each length
+    that a prefix has; as keys are at most 1,024 characters, so are the lengths.
+    Batches fill in the order of the key's hash, whose first digits also cut a
+    prefix into 65,536 even stretches at most, of one task's work each.
     """
-    parts = F.split("key", "/")
-    depth = F.size(parts) - 1
-    parents = F.transform(
-        F.when(depth > 0, F.sequence(F.lit(1), depth)),
-        lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")),
+    wanted = prefixes.filter(F.length("prefix") <= MAX_KEY).select("prefix").distinct()
+    lengths = sorted(row[0] for row in wanted.select(F.length("prefix")).distinct().collect())
+    if not lengths:
+        lengths = [MAX_KEY]
+    beginnings = F.array_compact(
+        F.array(*[F.when(F.length("key") >= n, F.substring("key", 1, n)) for n in lengths])
     )
-    candidates = objects.select("key", F.explode(parents).alias("prefix"))
-    inside = candidates.join(prefixes.select("prefix").distinct(), "prefix")
+    inside = objects.select("key", F.explode(beginnings).alias("prefix")).join(wanted, "prefix")
     hashed = inside.withColumn("_h", F.md5("key"))
     placed = position_in_group(
         hashed, ["prefix"], [F.col("_h"), F.col("key")], F.substring("_h", 1, hash_digits)

@@ -6,21 +6,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.plan import once
 from folioflow.functions.text import ordered_text, strip
 from folioflow.operators import search
-from folioflow.operators.search import MAX_SHIPPED, DenseQueries, Scorer, _matrix
+from folioflow.operators.search import MAX_SHIPPED, _matrix
 
 # How passages and page results are put together.
 PASSAGE_BREAK = "\n---\n"
 RESULT_BREAK = "\n\n---\n\n"
 TOP = 5
 
-# Ours: how much of a page is shown with its result.
-SNIPPET_CHARS = 200
+# Bands of random hyperplanes, and hyperplanes of a band.
+BANDS = 56
+BITS = 6
 
 
 def _broadcast_if_few(ranked: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -88,12 +89,14 @@ def word_set(text: Column) -> Column:
     return F.array_distinct(found)
 
 
-def search_pages(queries: DataFrame, pages: DataFrame, k: int = TOP) -> DataFrame:
+def search_pages(queries: DataFrame, pages: DataFrame, k: int = TOP, snippet_chars: int | None = None) -> DataFrame:
     """(query_id, answer) from (query_id, text) and (page_id, url, html).
 
     Pages rank by how many of the query's words their title and text hold, ties
-    by the lower page id. An answer lists title, snippet and source per page.
+    by the lower page id. An answer lists title, text and source per page; the
+    text is whole unless ``snippet_chars`` cuts it.
     """
+    shown_text = F.col("body") if snippet_chars is None else strip(F.substring("body", 1, snippet_chars))
     read = once(
         pages.select("page_id", "url", "html"),
         F.col("html"),
@@ -107,7 +110,7 @@ def search_pages(queries: DataFrame, pages: DataFrame, k: int = TOP) -> DataFram
     block = F.concat(
         F.col("title"),
         F.lit("\n"),
-        strip(F.substring("body", 1, SNIPPET_CHARS)),
+        shown_text,
         F.lit("\nSource: "),
         F.col("url"),
     )
@@ -126,7 +129,7 @@ def search_pages(queries: DataFrame, pages: DataFrame, k: int = TOP) -> DataFram
 # --- Approximate search ---------------------------------------------------------
 
 
-def band_keys(vectors: DataFrame, bands: int = 8, bits: int = 6, seed: int = 7) -> DataFrame:
+def band_keys(vectors: DataFrame, bands: int = BANDS, bits: int = BITS, seed: int = 7) -> DataFrame:
     """Adds ``bands ARRAY<INT>``: signatures of random hyperplanes, per band."""
     schema = vectors.schema
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", bands array<int>"
@@ -147,42 +150,47 @@ def band_keys(vectors: DataFrame, bands: int = 8, bits: int = 6, seed: int = 7)
     return vectors.mapInArrow(sign, out)
 
 
-class BandedQueries(DenseQueries):
-    """Exact cosine, but only for rows that share a band with the query."""
+def candidates(queries: DataFrame, vectors: DataFrame, bands: int = BANDS, bits: int = BITS) -> DataFrame:
+    """(query_id, id): pairs that share the key of a band, once each.
+
+    An equi-join on (band, key), so a pair that shares none is never formed and
+    adaptive execution splits the rows of a popular key.
+    """
+
+    def keyed(side: DataFrame, name: str) -> DataFrame:
+        signed = band_keys(side.select("id", "vector"), bands, bits)
+        return signed.select(F.col("id").alias(name), F.posexplode("bands").alias("band", "key"))
+
+    return keyed(vectors, "id").join(keyed(queries, "query_id"), ["band", "key"]).select("query_id", "id").distinct()
 
-    def __init__(self, table: pa.Table):
-        super().__init__(table)
-        self.bands = _bands(table)
 
-    def scores(self, batch: pa.Table) -> np.ndarray:
-        rows = _bands(batch)
-        shared = np.zeros((len(rows), len(self.bands)), dtype=bool)
-        for band in range(rows.shape[1]):
-            shared |= rows[:, band][:, None] == self.bands[:, band][None, :]
-        return np.where(shared, super().scores(batch), -np.inf)
+def cosine(left: Column, right: Column) -> Column:
+    """Cosine of two vectors; 0 where one has no length."""
 
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
-def _bands(table: pa.Table) -> np.ndarray:
-    flat = table.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(table.num_rows, -1)
+    length = F.sqrt(dot(left, left)) * F.sqrt(dot(right, right))
+    return F.when(length > 0, dot(left, right) / length).otherwise(F.lit(0.0))
 
 
 def search_vectors_lsh(
-    queries: DataFrame, vectors: DataFrame, k: int = TOP, bands: int = 8, bits: int = 6, **limits
+    queries: DataFrame, vectors: DataFrame, k: int = TOP, bands: int = BANDS, bits: int = BITS
 ) -> DataFrame:
-    """Approximate top ``k``: rows that share a band are scored exactly.
+    """(query_id, id, score, rank): approximate top ``k`` of (id, vector) rows.
 
-    A popular band holds many rows but makes no pairs: each task masks its own
-    rows and keeps ``k`` per query, as exact search does.
+    Only candidates are scored, by their exact cosine. More bits make fewer
+    candidates, more bands find more of the true neighbours; the defaults reach
+    a recall of 0.9 where neighbours are far away (a cosine of about 0.4).
     """
-    ranked = search.top_k(
-        band_keys(queries, bands, bits),
-        band_keys(vectors, bands, bits),
-        k,
-        Scorer(BandedQueries, positive_only=False),
-        **limits,
+    pairs = candidates(queries, vectors, bands, bits)
+    scored = (
+        pairs.join(vectors.select("id", F.col("vector").alias("_v")), "id")
+        .join(queries.select(F.col("id").alias("query_id"), F.col("vector").alias("_q")), "query_id")
+        .select("query_id", "id", F.round(cosine(F.col("_q"), F.col("_v")), 6).alias("score"))
     )
-    return ranked.filter(F.col("score") > float("-inf"))
+    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    return scored.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

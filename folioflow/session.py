@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # AQE does three jobs here: it coalesces small shuffle partitions, turns joins
 # into broadcasts once a side is measured to be small, and splits the partition
@@ -60,16 +60,3 @@ def shared_folder(spark: SparkSession) -> str:
 def new_run_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a table comes in fewer splits than there are cores.
-
-    Costs nothing on a large table: with enough splits the frame is returned
-    as it is. It pays before CPU-bound row work over a file of one row group.
-    """
-    session = df.sparkSession
-    cores = session.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from folioflow import schemas
 from folioflow.functions.pii import RedactionSettings
 from folioflow.functions.ranking import position_in_group
-from folioflow.operators import cache, chunks, classify, extract, failures, limits, memory, redact, route, search, screen
+from folioflow.operators import cache, chunks, classify, extract, failures, limits, memory, passages, redact, route, search, screen
 from folioflow.plans import ingest
 
 NAMES = [
@@ -122,6 +122,48 @@ def test_purge_batches(spark):
     assert sizes == {0: 1000, 1: 500}
 
 
+def test_purge_by_a_prefix_within_a_name(spark):
+    objects = spark.createDataFrame([("uploads/abc/x",), ("uploads/b",), ("up",)], "key string")
+    wanted = spark.createDataFrame([("uploads/a",), ("uploads/",), ("uploads/",), (None,)], "prefix string")
+    got = {(r.prefix, r.batch_no, r.key) for r in limits.purge_plan(objects, wanted).collect()}
+    assert got == {("uploads/a", 0, "uploads/abc/x"), ("uploads/", 0, "uploads/abc/x"), ("uploads/", 0, "uploads/b")}
+    assert limits.purge_plan(objects, wanted.filter("false")).count() == 0
+
+
+def test_rate_limit_of_a_hot_key_and_of_none(spark):
+    # Key "hot" and no key at all, both with many requests at the same instants.
+    times = [1_704_067_200_000_000 + 1_000_000 * (i // 7) * (1 + i % 3) + (i % 2) for i in range(2_000)]
+    rows = [("hot", t) for t in times] + [(None, t) for t in times[:900]] + [("cold", times[0]), ("hot", None)]
+    asked = spark.createDataFrame(rows, "key string, us bigint").select("key", F.timestamp_micros("us").alias("ts"))
+    got = sorted(
+        ((r.key or "", r.us, r.in_window) for r in limits.rate_limit(asked, 40, 1).select("key", F.unix_micros("ts").alias("us"), "in_window").collect())
+    )
+    want = []
+    for key in ("hot", None):
+        own = [t for k, t in rows if k == key and t is not None]
+        for t in own:
+            held = sum(t - 60_000_000 <= u <= t for u in own)
+            if held > 40:
+                want.append((key or "", t, held))
+    assert got == sorted(want) and len(want) > 100
+
+
+def test_approximate_search_recall(spark):
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    vectors = random.standard_normal((600, 32))
+    asked = vectors[:20] + 0.5 * random.standard_normal((20, 32))
+    table = lambda rows: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id int, vector array<double>")
+    queries, stored = table(asked), table(vectors)
+    exact = search.search_vectors(queries, stored)
+    near = passages.search_vectors_lsh(queries, stored)
+    assert passages.recall(near, exact).first()["recall"] >= 0.9
+    assert passages.candidates(queries, stored).count() < 20 * 600
+    same = near.join(exact.withColumnsRenamed({"score": "s", "rank": "r"}), ["query_id", "id"])
+    assert same.filter("abs(score - s) > 1e-6").count() == 0
+
+
 def test_last_k_cuts_before_roles(spark):
     rows = [("s", i, "system" if i == 4 else "user", f"t{i}") for i in range(5)]
     turns = spark.createDataFrame(rows, "session_id string, seq bigint, role string, text string")
