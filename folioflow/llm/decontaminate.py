@@ -3,12 +3,14 @@
 A short test item is contained in a long document if the document holds at least
 0.8 of the item's distinct five-word shingles. The similarity of the two sets is
 then tiny, so plain MinHash misses it. Here documents are partitioned by size:
-a document of up to u distinct shingles gets a one-permutation MinHash with 4 * u
+a document of up to u distinct shingles gets a one-permutation MinHash with 16 * u
 bins, so every class, however long its documents, keeps the same small number of
 shingles per bin and a shingle survives as its bin's minimum with a chance of
-about 0.9. An item is looked up in each class with the same bins. Items whose
+about 0.97. An item is looked up in each class with the same bins. Items whose
 minima meet the document's in at least a share of the needed bins are
-candidates; they are verified by counting their shingles, as text, in the whole
+candidates; items of few shingles, where one lost minimum may decide, are looked
+up under four permutations, so that one is missed about once in a million.
+Candidates are verified by counting their shingles, as text, in the whole
 document, so no result rests on a hash.
 
 Documents are read once and nothing is shuffled. Items are sent to the tasks in
@@ -47,8 +49,10 @@ KNOWN_WORDS = 300_000
 class Settings:
     shingle: int = 5
     containment: float = 0.8
-    bins_per_shingle: int = 4
+    bins_per_shingle: int = 16
     candidate_share: float = 0.25  # of the needed shingles, that must meet as minima
+    short: int = 8  # needed shingles up to which an item gets more permutations
+    permutations: int = 4  # at most 4: rotations of the hash by 16 bits
     block_items: int = 50_000
     block_chars: int = 16_000_000
 
@@ -90,6 +94,11 @@ def bin_minima(hashes: np.ndarray, log_bins: int) -> np.ndarray:
     return ordered[np.concatenate([[True], bins[1:] != bins[:-1]])] if len(ordered) else ordered
 
 
+def turned(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """The hashes as another permutation orders them."""
+    return (hashes << np.uint64(16 * turn)) | (hashes >> np.uint64(64 - 16 * turn)) if turn else hashes
+
+
 def size_class(shingles: int, settings: Settings) -> int:
     """log2 of the bins for documents with so many shingles."""
     return max(4, (max(1, shingles) * settings.bins_per_shingle - 1).bit_length())
@@ -114,48 +123,57 @@ class ItemBlock:
             self.hashes.append(np.unique(shingle_hashes(words, size, self.known)) if words else np.zeros(0, np.uint64))
             if words:
                 self.groups.setdefault(size, []).append(number)
-        self.index: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        self.maybe: dict[int, np.ndarray] = {}
-        for size, numbers in self.groups.items():
-            table = np.zeros(1 << 20, dtype=bool)
-            table[np.concatenate([self.hashes[n] for n in numbers]) >> np.uint64(44)] = True
-            self.maybe[size] = table
-
-    def minima(self, size: int, log_bins: int) -> tuple[np.ndarray, np.ndarray]:
+        few = settings.short
+        self.short = {size: [n for n in own if self.needed[n] <= few] for size, own in self.groups.items()}
+        self.index: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
+        self.maybe = {size: self._table(own) for size, own in self.groups.items()}
+        self.maybe_short = {size: self._table(own) for size, own in self.short.items() if own}
+
+    def _table(self, numbers: list[int]) -> np.ndarray:
+        """Which values of the hash's top bits some shingle of these items has."""
+        table = np.zeros(1 << 20, dtype=bool)
+        table[np.concatenate([self.hashes[n] for n in numbers]) >> np.uint64(44)] = True
+        return table
+
+    def minima(self, size: int, log_bins: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, item) of the items' minima in a class, sorted by hash."""
-        if (size, log_bins) not in self.index:
-            parts = [bin_minima(self.hashes[n], log_bins) for n in self.groups[size]]
+        if (size, log_bins, turn) not in self.index:
+            numbers = self.short[size] if turn else self.groups[size]
+            parts = [bin_minima(turned(self.hashes[n], turn), log_bins) for n in numbers]
             hashes = np.concatenate(parts)
-            owners = np.repeat(self.groups[size], [len(p) for p in parts])
+            owners = np.repeat(numbers, [len(p) for p in parts])
             order = np.argsort(hashes, kind="stable")
-            self.index[size, log_bins] = hashes[order], owners[order]
-        return self.index[size, log_bins]
+            self.index[size, log_bins, turn] = hashes[order], owners[order]
+        return self.index[size, log_bins, turn]
+
+    def candidates(self, hashes: np.ndarray, size: int) -> set[int]:
+        """Items of a shingle size whose minima meet those of a document's hashes."""
+        # No minimum can meet where no shingle of any item is: most texts end here.
+        if not len(hashes) or not self.maybe[size][hashes >> np.uint64(44)].any():
+            return set()
+        log_bins = size_class(len(hashes), self.settings)
+        more = size in self.maybe_short and self.maybe_short[size][hashes >> np.uint64(44)].any()
+        found: set[int] = set()
+        for turn in range(self.settings.permutations if more else 1):
+            own = bin_minima(turned(hashes, turn), log_bins)
+            index, owners = self.minima(size, log_bins, turn)
+            begin, end = np.searchsorted(index, own), np.searchsorted(index, own, side="right")
+            met = [owners[a:b] for a, b in zip(begin, end) if b > a]
+            if met:
+                items, counts = np.unique(np.concatenate(met), return_counts=True)
+                for item, count in zip(items.tolist(), counts.tolist()):
+                    if count >= max(1, int(self.settings.candidate_share * self.needed[item])):
+                        found.add(item)
+        return found
 
     def matches(self, raw: bytes | None) -> list[tuple[int, float]]:
         """(item number, containment) of the items that a text contains."""
         words = words_of(raw)
         found = []
         for size in self.groups:
-            hashes = shingle_hashes(words, size, self.known)
-            if not len(hashes):
-                continue
-            log_bins = size_class(len(hashes), self.settings)
-            # No minimum can meet where no shingle of any item is: most texts end here.
-            near = hashes[self.maybe[size][hashes >> np.uint64(44)]]
-            if not len(near):
-                continue
-            own = bin_minima(hashes, log_bins)
-            index, owners = self.minima(size, log_bins)
-            begin, end = np.searchsorted(index, own), np.searchsorted(index, own, side="right")
-            met = [owners[a:b] for a, b in zip(begin, end) if b > a]
-            if not met:
-                continue
-            items, counts = np.unique(np.concatenate(met), return_counts=True)
-            texts = None
-            for item, count in zip(items.tolist(), counts.tolist()):
-                if count < max(1, int(self.settings.candidate_share * self.needed[item])):
-                    continue
-                texts = texts or shingle_texts(words, size)
+            met = self.candidates(shingle_hashes(words, size, self.known), size)
+            texts = shingle_texts(words, size) if met else set()
+            for item in met:
                 hits = len(self.shingles[item] & texts)
                 if hits >= self.needed[item]:
                     found.append((item, hits / len(self.shingles[item])))

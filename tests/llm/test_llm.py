@@ -273,6 +273,16 @@ def random_texts(count):
     return fuzz + ["<|endoftext|>a", "x<|startoftext|> y", "WE'RE 'sun", "ΑΣ ΑΣΑ", prose(1, 500), "", None]
 
 
+def test_decontamination_finds_items_of_one_shingle():
+    # 2,000 items of five words, each in a document of its own of 400 words.
+    items = [f"i{n} a{n} b{n} c{n} d{n}".encode() for n in range(2_000)]
+    block = decontaminate.ItemBlock(items, decontaminate.Settings())
+    for n, item in enumerate(items):
+        filler = [f"w{n}x{i}" for i in range(395)]
+        text = " ".join(filler[: n % 395]).encode() + b" " + item + b" " + " ".join(filler[n % 395 :]).encode()
+        assert block.matches(text) == [(n, 1.0)]
+
+
 def test_bpe_trie_equals_the_library(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, texts = Tokenizer.from_file(path), random_texts(1500)
