@@ -17,6 +17,7 @@ are counted each; NULL ids are carried; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 
@@ -35,7 +36,12 @@ MEASURED = "n_bytes BIGINT, n_tokens BIGINT, over_limit BOOLEAN"
 
 class PieceCounter:
     def __init__(self, path: str, limit: int = LIMIT) -> None:
+        # The library's threads keep caches of words that outlive their tokenizer,
+        # so a worker would grow with each task. A task is one thread's work, and
+        # no pre-token is counted twice, so neither is of use here.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
+        self.library.model._resize_cache(0)
         self.library.no_truncation()
         self.library.no_padding()
         self.limit = limit
