@@ -8,8 +8,11 @@ in a text is kept, and a logistic unit turns the answers into a score from 0 to
 1. A text of any length is read whole: its maximum is taken piece by piece.
 
 Fitting uses a bounded sample of labelled rows (``Settings.sample_docs`` texts
-of at most ``sample_chars`` characters); scoring is row-local, without shuffle.
-The score sees the text alone. ``lang`` only chooses the threshold.
+of at most ``sample_chars`` characters). The thresholds come from all labelled
+rows that are neither held out nor learned from: they are scored on Spark, and
+only (id, language, score) is shuffled to meet the labels. Scoring itself is
+row-local, without shuffle. The score sees the text alone. ``lang`` only chooses
+the threshold.
 
 Defined results: NULL and empty texts score like a text without known words;
 rows without id are scored and count as not held out; a repeated row is scored
@@ -27,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from folioflow.llm.batches import keep, measure
 
@@ -36,6 +40,7 @@ WIDTHS = {1: 12, 2: 4, 3: 4}  # filters by width
 PAD = 2  # zero rows after each text: windows from its words stay within it
 KNOWN_WORDS = 300_000
 SEGMENT = 65_536
+BINS = 1_024  # of scores; a power of two, so that a bin's edge is exact
 
 
 @dataclass(frozen=True)
@@ -59,6 +64,7 @@ class Model:
     weights: np.ndarray
     offset: float
     thresholds: dict[str | None, float]
+    learned: list  # ids trained on
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -184,20 +190,23 @@ def gather(tables: np.ndarray, found: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- fitting
 
 
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """(_id, _toxic) of each labelled id that is not held out."""
+    return (
+        labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
+        .filter(F.col("_id").isNotNull() & F.col("_toxic").isNotNull() & ~is_held_out(F.col("_id")))
+        .groupBy("_id")
+        .agg(F.max("_toxic").alias("_toxic"))
+    )
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list:
     """(text, lang, toxic) of a bounded sample of labelled rows that are not held out.
 
     The ids with the smallest hashes are taken, ``sample_docs`` of them, which
     bounds what is broadcast and what comes back.
     """
-    chosen = (
-        labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
-        .filter(F.col("_id").isNotNull() & F.col("_toxic").isNotNull() & ~is_held_out(F.col("_id")))
-        .groupBy("_id")
-        .agg(F.max("_toxic").alias("_toxic"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(settings.sample_docs)
-    )
+    chosen = usable_labels(labels).orderBy(F.xxhash64("_id"), "_id").limit(settings.sample_docs)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     found = (
         docs.select(F.col("doc_id").alias("_id"), "text", lang.alias("_lang"))
@@ -231,9 +240,10 @@ def document_frequency_scores(
 
 
 def fit(sample: list, settings: Settings = Settings()) -> Model | None:
-    """The model of (text, lang, _toxic) rows; None without both classes.
+    """The model of (_id, text, _toxic) rows; None without both classes.
 
-    A fifth of the rows is not trained on but sets the thresholds.
+    A fifth of the rows is not trained on, so that small tables have rows for
+    the thresholds too. Until those are set, 0.5 holds for all.
     """
     toxic = np.array([int(r["_toxic"] > 0) for r in sample], dtype=np.int64)
     if len(sample) == 0 or toxic.min() == toxic.max():
@@ -246,17 +256,13 @@ def fit(sample: list, settings: Settings = Settings()) -> Model | None:
         places.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
     pieces = piece_buckets(list(vocabulary), settings.buckets)
     order = random.permutation(len(sample))
-    checked, trained = np.sort(order[: len(sample) // 5]), order[len(sample) // 5 :]
+    trained = order[len(sample) // 5 :]
     if toxic[trained].min() == toxic[trained].max():
-        checked, trained = order[:0], order
+        trained = order
     scores, seen = document_frequency_scores([places[i] for i in trained], toxic[trained], pieces, settings.buckets)
     model = _start(scores, seen, float(toxic[trained].mean()), settings, random)
     _train(model, places, toxic, pieces, trained, settings, random)
-    scorer = Scorer(model)
-    rows = [sample[i] for i in checked]
-    model.thresholds = thresholds(
-        scorer([r["text"] for r in rows]), toxic[checked], [r["lang"] for r in rows], settings.least_positive
-    )
+    model.learned = [sample[i]["_id"] for i in trained]
     return model
 
 
@@ -274,7 +280,7 @@ def _start(scores, seen, rate: float, settings: Settings, random) -> Model:
         filters[width] = first
     total = sum(WIDTHS.values())
     return Model(
-        tables, filters, np.zeros(total, np.float32), np.full(total, 0.1), float(np.log(rate / (1 - rate))) - 1.0, {}
+        tables, filters, np.zeros(total, np.float32), np.full(total, 0.1), float(np.log(rate / (1 - rate))) - 1.0, {None: 0.5}, []
     )
 
 
@@ -335,38 +341,72 @@ def _train(model: Model, places, toxic, pieces, trained, settings: Settings, ran
                 np.subtract.at(model.tables[k], bucket, 0.5 * rate * grad / np.sqrt(squares[k][bucket]))
 
 
-def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
+def best_threshold(total: np.ndarray, toxic: np.ndarray) -> float:
     """Of the cuts whose F1 is within 0.02 of the best, the nearest to 0.5.
 
-    Cuts lie midway between scores. A small sample says little about the tails,
-    so the result is kept within 0.2 and 0.8.
+    Takes the rows and the toxic rows of each bin; cuts are the bins' edges. A
+    small sample says little about the tails, so the result is kept within 0.2
+    and 0.8.
     """
-    levels = np.unique(np.concatenate([[0.0], scores, [1.0]]))
-    cuts = np.append((levels[:-1] + levels[1:]) / 2, 0.5)
-    rank = np.sort(scores)
-    bad = np.sort(scores[toxic == 1])
-    hits = len(bad) - np.searchsorted(bad, cuts)
-    f1 = 2 * hits / np.maximum(1, len(rank) - np.searchsorted(rank, cuts) + len(bad))
+    cuts = np.arange(BINS + 1) / BINS
+    flagged = np.append(np.cumsum(total[::-1])[::-1], 0)
+    hits = np.append(np.cumsum(toxic[::-1])[::-1], 0)
+    f1 = 2 * hits / np.maximum(1, flagged + hits[0])
     good = cuts[f1 >= f1.max() - 0.02]
     return float(np.clip(good[np.abs(good - 0.5).argmin()], 0.2, 0.8))
 
 
-def thresholds(scores, toxic, langs, least_positive: int) -> dict[str | None, float]:
-    """Threshold by language, and under None the one for all others."""
-    out: dict[str | None, float] = {None: best_threshold(scores, toxic) if len(scores) and toxic.any() else 0.5}
-    for lang in {x for x in langs if x is not None}:
-        own = np.array([x == lang for x in langs])
-        if toxic[own].sum() >= least_positive:
-            out[lang] = best_threshold(scores[own], toxic[own])
-    return out
+def score_counts(docs: DataFrame, labels: DataFrame, model: Model, least_positive: int) -> DataFrame:
+    """(lang, bin, total, toxic) over the labelled rows that are neither held out
+    nor learned from, NULL texts left out.
+
+    Languages with fewer toxic rows than ``least_positive``, and rows without
+    language, are added up under NULL. A row that is there twice counts twice.
+    """
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    learned = docs.sparkSession.createDataFrame(
+        [(i,) for i in model.learned], StructType([StructField("_id", docs.schema["doc_id"].dataType)])
+    )
+    rows = (
+        docs.select(F.col("doc_id").alias("_id"), "text", lang.cast("string").alias("_lang"))
+        .filter(F.col("text").isNotNull() & F.col("_id").isNotNull() & ~is_held_out(F.col("_id")))
+        .join(F.broadcast(learned), "_id", "left_anti")
+    )
+    edge = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int")
+    counts = (
+        _scored(rows, ["_id", "_lang"], model)
+        .join(usable_labels(labels), "_id")
+        .groupBy("_lang", edge.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("total"), F.sum((F.col("_toxic") > 0).cast("long")).alias("toxic"))
+    )
+    return (
+        counts.groupBy("_lang")
+        .agg(F.sum("toxic").alias("_n"), F.collect_list(F.struct("bin", "total", "toxic")).alias("_bins"))
+        .select(F.when(F.col("_n") >= least_positive, F.col("_lang")).alias("lang"), F.inline("_bins"))
+        .groupBy("lang", "bin")
+        .agg(F.sum("total").alias("total"), F.sum("toxic").alias("toxic"))
+    )
+
+
+def thresholds(counts: list) -> dict[str | None, float]:
+    """Threshold by language, and under None, of all rows, the one for the others."""
+    by_lang: dict[str | None, np.ndarray] = {None: np.zeros((2, BINS), dtype=np.int64)}
+    for r in counts:
+        for lang in {None, r["lang"]}:
+            by_lang.setdefault(lang, np.zeros((2, BINS), dtype=np.int64))[:, r["bin"]] += (r["total"], r["toxic"])
+    return {lang: best_threshold(*own) if own[1].any() else 0.5 for lang, own in by_lang.items()}
 
 
 # ---------------------------------------------------------------- operators
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """Fit on a bounded sample of the labelled documents (doc_id, text, lang)."""
-    return fit(training_sample(docs, labels, settings), settings)
+    """Fit on a bounded sample of the labelled documents (doc_id, text, lang), and
+    set the thresholds by all labelled documents it has not learned from."""
+    model = fit(training_sample(docs, labels, settings), settings)
+    if model is not None:
+        model.thresholds = thresholds(score_counts(docs, labels, model, settings.least_positive).collect())
+    return model
 
 
 def _send(docs: DataFrame, model: Model | None):
@@ -374,14 +414,9 @@ def _send(docs: DataFrame, model: Model | None):
     return docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)
 
 
-def toxicity_scores(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, held_out, score, predicted, threshold, flagged) of every row.
-
-    ``predicted`` cuts the score at 0.5, ``flagged`` at the language's threshold.
-    """
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select("doc_id", "text", lang.cast("string").alias("_lang"))
-    sent = _send(docs, model)
+def _scored(rows: DataFrame, carried: list[str], model: Model | None) -> DataFrame:
+    """``carried`` columns and the score of ``text``, one row per row."""
+    sent = _send(rows, model)
 
     def make():
         if sent.value is None:
@@ -389,7 +424,17 @@ def toxicity_scores(docs: DataFrame, model: Model | None) -> DataFrame:
         scorer = Scorer(Model(**sent.value))
         return lambda texts: {"score": scorer(texts)}
 
-    scored = measure(rows, ["doc_id", "_lang"], "text", make, "score DOUBLE")
+    return measure(rows, carried, "text", make, "score DOUBLE")
+
+
+def toxicity_scores(docs: DataFrame, model: Model | None) -> DataFrame:
+    """(doc_id, held_out, score, predicted, threshold, flagged) of every row.
+
+    ``predicted`` cuts the score at 0.5, ``flagged`` at the language's threshold.
+    """
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select("doc_id", "text", lang.cast("string").alias("_lang"))
+    scored = _scored(rows, ["doc_id", "_lang"], model)
     cut = F.lit(model.thresholds[None] if model else 0.5)
     for name, value in (model.thresholds if model else {}).items():
         if name is not None:

@@ -99,6 +99,32 @@ def test_toxicity_awkward_rows(spark, docs, none):
     assert toxicity.drop_toxic(docs, None).count() == len(AWKWARD)
 
 
+def test_toxicity_thresholds_come_from_all_labelled_rows(spark):
+    rows = [(i, prose(i, 30) + (" vile scumling" if i % 3 == 0 else ""), ["en", "es"][i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows + [(601, "x " * 5000, "fr")], "doc_id BIGINT, text STRING, lang STRING")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in [*range(600), 601]], "doc_id BIGINT, toxic INT")
+    settings = toxicity.Settings(epochs=4, sample_docs=50)
+    model = toxicity.train(docs, labels, settings)
+    assert len(model.learned) <= 50 and set(model.thresholds) == {None, "en", "es"}
+    counts = toxicity.score_counts(docs, labels, model, settings.least_positive).collect()
+    free = labels.filter(~toxicity.is_held_out(F.col("doc_id"))).count()
+    assert sum(r.total for r in counts) == free - len(model.learned)
+    assert {r.lang for r in counts} == {None, "en", "es"}
+
+
+def test_toxicity_threshold_is_near_the_best():
+    random = np.random.default_rng(3)
+    toxic = random.random(3000) < 0.1
+    scores = np.clip(random.normal(0.3 + 0.25 * toxic, 0.1), 0, 1)
+    bins = np.minimum((scores * toxicity.BINS).astype(int), toxicity.BINS - 1)
+    cut = toxicity.best_threshold(np.bincount(bins, minlength=toxicity.BINS), np.bincount(bins[toxic], minlength=toxicity.BINS))
+
+    def f1(at):
+        return 2 * (toxic & (scores >= at)).sum() / ((scores >= at).sum() + toxic.sum())
+
+    assert f1(cut) >= max(map(f1, scores)) - 0.025
+
+
 def test_toxicity_reads_to_the_end_of_long_texts(spark):
     model = toxicity.train(*labelled(spark), toxicity.Settings(epochs=4))
     scorer = toxicity.Scorer(model)
