@@ -108,6 +108,8 @@ class WordTrie:
         for own in self.lengths.values():
             own.sort(reverse=True)
         self.tokens = {t for t, whole in self.whole.items() if whole and t in vocabulary.ids}
+        # As much of what precedes a symbol as a token over it can hold.
+        self.reach = max([2, *(n for own in self.lengths.values() for n in own)]) - 1
 
     def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Ids of each distinct word of byte characters."""
@@ -119,9 +121,11 @@ class WordTrie:
                 node = node.setdefault(symbol, {})
             node[word[-1] + end] = word  # a leaf: the mark sets it apart from inner nodes
         found: dict[str, list[int]] = {}
-        # States by depth: last token's text, and the ids of the whole prefix.
+        # States by depth: last token's text, its id, and the depth it began at.
+        # The ids of a prefix are read back over these links, at leaves only.
         last: list[str] = [""]
-        coded: list[tuple[int, ...]] = [()]
+        numbers: list[int] = [-1]
+        began: list[int] = [0]
         stack = [("", iter(root.items()))]
         while stack:
             path, rest = stack[-1]
@@ -133,22 +137,28 @@ class WordTrie:
                     for length in self.lengths.get(path[-1] + symbol, ()):
                         if length > depth:
                             continue
-                        longer = tail[depth - length :]
+                        longer = tail[len(path) + 1 - length :]
                         if longer in self.tokens and (length == depth or self._keeps(last[depth - length], longer)):
                             token, size = longer, length
                             break
-                now = (*coded[depth - size], ids[token])
                 if child.__class__ is str:
-                    found[child] = now
+                    coded, at = [ids[token]], depth - size
+                    while at:
+                        coded.append(numbers[at])
+                        at = began[at]
+                    coded.reverse()
+                    found[child] = coded
                     continue
                 last.append(token)
-                coded.append(now)
-                stack.append((tail, iter(child.items())))
+                numbers.append(ids[token])
+                began.append(depth - size)
+                stack.append((tail[-self.reach :], iter(child.items())))
                 break
             else:
                 stack.pop()
                 last.pop()
-                coded.pop()
+                numbers.pop()
+                began.pop()
         return found
 
     def _keeps(self, left: str, right: str) -> bool:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -321,6 +322,24 @@ def test_bpe_trie_equals_the_library(spark):
         assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_bpe_trie_of_one_long_word():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    codec, library = bpe_trie.Codec(path), Tokenizer.from_file(path)
+    letters = random.Random(5)
+    for size in (20_000, 200_000):  # the shorter one first: its memory is looked at before the longer is tried
+        word = "".join(letters.choices("acgt" if size == 20_000 else "etaoinshrdlu", k=size))
+        tracemalloc.start()
+        got = codec([word.encode()])
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 1_000 * size
+        ids = library.encode(word, add_special_tokens=False).ids
+        assert got["n_tokens"] == [len(ids)]
+        assert got["ids_sha256"] == [hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()]
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert got["decoded_sha256"] == [hashlib.sha256(decoded.encode()).hexdigest()]
+
+
 def test_bpe_trie_forgets_words_over_its_bound(monkeypatch):
     monkeypatch.setattr(bpe_trie, "KNOWN_WORDS", 5)
     codec = bpe_trie.Codec(public_tokenizers.path("word_bpe_49k.json"))
