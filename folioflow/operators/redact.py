@@ -8,7 +8,7 @@ are shuffled, never the texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions import pii
@@ -129,50 +129,67 @@ def redact_text(
     return once(base, found, results).drop("_extra").withColumn("engine", F.lit("rules"))
 
 
-def redact_person_names(documents: DataFrame, names: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
-    """Spans of known names, in token pairs and single tokens.
+def _runs(n: int) -> Column:
+    """(start, stop, candidate) of each run of ``n`` of the ``tokens``; ``rest``
+    has each token with the gap before it."""
+    tokens = F.col("tokens")
+    return F.transform(
+        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0))),
+        lambda t, i: F.struct(
+            t["start"].alias("start"),
+            F.get(tokens, i + (n - 1))["stop"].alias("stop"),
+            (F.concat(t["word"], F.array_join(F.slice("rest", i + 2, F.lit(n - 1)), "")) if n > 1 else t["word"]).alias(
+                "candidate"
+            ),
+        ),
+    )
+
 
-    ``names(name)`` holds full names or single names. Tokens are exploded with
-    their offsets and met by an equi-join, so only hits leave the stage. The
-    list is broadcast when it is counted to be small and shuffled otherwise.
-    A pair is two tokens one character apart; found as a name, it hides its two
-    tokens. Not a language model.
+def redact_person_names(documents: DataFrame, names: DataFrame, max_broadcast_rows: int = 200_000) -> DataFrame:
+    """Spans of known names, of any number of tokens.
+
+    ``names(name)`` holds full names or single names. A run of tokens is looked
+    up as it stands in the text, white space of any length and kind as one
+    blank; the lengths of runs are those that the list has. Runs are exploded
+    with their offsets and met by an equi-join, so only hits leave the stage.
+    The list is broadcast when it is counted to be small and shuffled otherwise.
+    A name hides the shorter ones within it. Not a language model.
     """
-    listed = names.select(F.lower("name").alias("candidate")).distinct()
-    if listed.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        listed = F.broadcast(listed)
     token = r"[\p{L}][\p{L}'’-]*"
-    tokens = (
-        documents.select("doc_key", pii.pattern_hits(F.col("text"), token).alias("tokens"), "text")
+    blanks = r"[\s\p{Z}]+"
+    # From the first token to the last: what stands around them is not compared.
+    listed = (
+        names.select(F.regexp_extract(F.lower("name"), f"(?s){token}(?:.*{token})?", 0).alias("name"))
+        .filter(F.col("name") != "")
         .select(
+            F.regexp_replace("name", blanks, " ").alias("candidate"),
+            F.size(F.regexp_extract_all("name", F.lit(token), F.lit(0))).alias("n"),
+        )
+        .distinct()
+    )
+    counted = listed.agg(F.count(F.lit(1)).alias("rows"), F.sort_array(F.collect_set("n")).alias("sizes")).first()
+    listed = listed.select("candidate")
+    if counted.rows <= max_broadcast_rows:
+        listed = F.broadcast(listed)
+    tokens = (
+        documents.select(
             "doc_key",
-            F.explode(
-                F.zip_with(
-                    F.col("tokens"),
-                    F.slice(F.col("tokens"), F.lit(2), F.greatest(F.size("tokens"), F.lit(1))),
-                    lambda a, b: F.array(
-                        F.struct(
-                            a["start"].alias("start"),
-                            a["stop"].alias("stop"),
-                            F.lower(a["hit"]).alias("candidate"),
-                            F.lit(1).alias("n"),
-                        ),
-                        F.struct(
-                            a["start"].alias("start"),
-                            b["stop"].alias("stop"),
-                            F.when(
-                                b["start"] == a["stop"] + 1,
-                                F.lower(F.concat(a["hit"], F.lit(" "), b["hit"])),
-                            ).alias("candidate"),
-                            F.lit(2).alias("n"),
-                        ),
-                    ),
-                )
-            ).alias("pair"),
+            F.zip_with(
+                pii.pattern_hits(F.col("text"), token),
+                F.split("text", token),
+                lambda t, gap: F.struct(
+                    t["start"].alias("start"),
+                    t["stop"].alias("stop"),
+                    F.lower(t["hit"]).alias("word"),
+                    F.concat(F.regexp_replace(gap, blanks, " "), F.lower(t["hit"])).alias("after_gap"),
+                ),
+            ).alias("tokens"),
         )
-        .select("doc_key", F.explode("pair").alias("t"))
+        # The piece after the last token has none.
+        .select("doc_key", F.filter("tokens", lambda t: t["word"].isNotNull()).alias("tokens"))
+        .select("doc_key", "tokens", F.col("tokens.after_gap").alias("rest"))
+        .select("doc_key", F.explode(F.flatten(F.array(*[_runs(n) for n in counted.sizes or [1]]))).alias("t"))
         .select("doc_key", "t.start", "t.stop", "t.candidate")
-        .filter(F.col("candidate").isNotNull())
     )
     hits = tokens.join(listed, "candidate").select(
         "doc_key",

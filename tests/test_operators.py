@@ -84,6 +84,28 @@ def test_redaction(spark):
         redact.redaction_gate(docs, RedactionSettings(rules=()))
 
 
+def test_names_of_any_number_of_words(spark):
+    texts = {
+        "a": "met Maria del Carmen, then MARIA  DEL\r\nCARMEN today",
+        "b": "Juan Carlos de la Vega y Soto came; Ines\u00a0Okafor too",
+        "c": "Maria, del Carmen and Maria del",
+        "d": "J. R. Moreno wrote; Ines Okafor-Lund did not",
+        "e": "",
+        "f": None,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_key string, text string")
+    names = ["Maria  del Carmen", "Juan Carlos de la Vega y Soto", " Ines Okafor ", "Carlos de", "J. R. Moreno", "--", "", None]
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    for rows in (200_000, 0):
+        spans = redact.redact_person_names(docs, listed, rows).collect()
+        got = sorted((s.doc_key, texts[s.doc_key][s.start : s.stop]) for s in spans)
+        assert got == [
+            ("a", "MARIA  DEL\r\nCARMEN"), ("a", "Maria del Carmen"),
+            ("b", "Ines\u00a0Okafor"), ("b", "Juan Carlos de la Vega y Soto"), ("d", "J. R. Moreno"),
+        ]
+    assert redact.redact_person_names(docs, listed.filter("name = '--'")).count() == 0
+
+
 def test_off_switch(spark):
     docs = spark.createDataFrame([("a", TRANSCRIPT)], "doc_key string, text string")
     row = redact.redact_text(docs, RedactionSettings.from_options("OFF")).first()
