@@ -13,8 +13,11 @@ from folioflow.llm import (
     chat_trees,
     decontaminate,
     license_scan,
+    packing,
+    phrases,
     quality_bands,
     simhash_ring,
+    spelling,
     token_counts,
     toxicity,
     url_rules,
@@ -125,3 +128,19 @@ def op9_bpe_trie(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_simhash_ring")
 def op10_simhash_ring(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_ring.simhash_components(table(spark, folder, "documents"))
+
+
+@query("op11_phrases", phrases.SQL)
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query("op12_pack")
+def op12_pack(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, folder, "documents"), path)
+
+
+@query("op13_spelling", spelling.SQL)
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
