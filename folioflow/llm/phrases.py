@@ -7,9 +7,14 @@ follows from its words alone, so equal chunks are equal parses. Chunks are count
 first, and the phrases inside a chunk once for all its occurrences, weighted by
 them: those that start in its own words, so a phrase over a cut is counted once.
 
+No phrase is more frequent than its parts. Words are therefore counted first, and
+pieces end at words that are too rare; then phrases of two words, and longer ones
+only where both of their parts, but for the last and but for the first word, are
+frequent. Which words and parts are is told to the tasks by a filter of fixed size
+that may say yes too often, never no: it saves work and decides nothing.
+
 Everything is per language. All counts are sums with a combine in each task; parts
-are met with their phrases by equi-joins among phrases that are frequent enough,
-since no part is rarer than the whole.
+are met with their phrases by equi-joins among frequent phrases.
 
 Defined results: a NULL text is empty and a NULL language ``und``; repeated rows
 count each; other columns are ignored; no rows give no phrases.
@@ -17,14 +22,16 @@ count each; other columns are ignored; no rows give no phrases.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.batches import free_name, raw_texts, slices
@@ -40,157 +47,295 @@ class Settings(NamedTuple):
     top: int = 2_000
     scale: int = 1_000_000
     #: One word in so many is a trigger; a chunk without one is cut after ``longest``.
-    modulus: int = 6
+    modulus: int = 12
     longest: int = 64
+    #: Bits of the filter of frequent words and parts, as a power of two.
+    filter_bits: int = 26
 
 
 LOWER = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n\n "
 )
 #: Sums that a task holds before it hands them on; texts over ``LONG`` bytes count by their bytes.
-HELD = 300_000
+HELD = 400_000
 LONG = 1_000
-#: Bytes of a piece that are held as separate words at a time.
+#: Words of a piece that are held at a time, and bytes of it that are cut into words.
+WORDS_AT_ONCE = 10_000
 BLOCK = 1_000_000
-BLANK = re.compile(rb" +")
+KNOWN = 200_000
+MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Between language and text in a key; no word holds it.
+BAR = b"\t"
 
 
-class Triggers(dict):
-    """Word: whether it is a trigger."""
+def words_in_blocks(piece: bytes) -> Iterator[list[bytes]]:
+    """The words of a piece, of a long one block by block."""
+    start = 0
+    while len(piece) - start > BLOCK:
+        blank = piece.find(b" ", start + BLOCK)
+        if blank < 0:
+            break
+        yield piece[start:blank].split()
+        start = blank
+    yield piece[start:].split() if start else piece.split()
 
-    def __init__(self, modulus: int) -> None:
-        self.modulus = modulus
 
-    def __missing__(self, word: bytes) -> bool:
-        if len(self) > 200_000:
+class Hashes(dict):
+    """Word: its hash in one language, kept up to a bound."""
+
+    def __init__(self, lang: str) -> None:
+        self.prefix = lang.encode() + BAR
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > KNOWN:
             self.clear()
-        known = self[word] = zlib.crc32(word) % self.modulus == 0
+        known = self[word] = xxhash.xxh64_intdigest(self.prefix + word)
         return known
 
 
-def words_in_blocks(piece: bytes) -> Iterator[tuple[list[bytes], bool]]:
-    """The words of a piece, and whether they are its last."""
-    start = 0
-    while len(piece) - start > BLOCK:
-        blank = BLANK.search(piece, start + BLOCK)
-        if blank is None:
-            break
-        yield piece[start : blank.start()].split(), False
-        start = blank.end()
-    yield piece[start:].split() if start else piece.split(), True
+def spots(hashes: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Two places (slot, bit) in a filter of so many bits for each hash."""
+    high = hashes >> np.uint64(64 - bits), (hashes * MIX) >> np.uint64(64 - bits)
+    return [((h >> np.uint64(6)).astype(np.int64), h & np.uint64(63)) for h in high]
+
+
+def part_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the parts of so many words from each place on; the last places have none."""
+    made = words[: len(words) - size + 1].copy()
+    for step in range(1, size):
+        made = made * MIX + words[step : len(words) - size + 1 + step]
+    return made
+
+
+class Filter:
+    """What may be frequent: no is sure."""
+
+    def __init__(self, slots: np.ndarray, bits: int) -> None:
+        self.slots, self.bits = slots, bits
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        (a, x), (b, y) = spots(hashes, self.bits)
+        return (self.slots[a] >> x & self.slots[b] >> y & np.uint64(1)).astype(bool)
+
+
+def make_filter(frequent: DataFrame, size: int, bits: int) -> Broadcast:
+    """The slots of a filter of (lang, text) with so many words each.
+
+    Slots are filled on Spark, one row each; there are ``2 ** bits / 64`` of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes: dict[str, Hashes] = {}
+        for batch in batches:
+            flat = [
+                hashes.setdefault(lang, Hashes(lang))[word]
+                for lang, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)))
+                for word in text.split(b" ")
+            ]
+            places = spots(part_hashes(np.array(flat, np.uint64), size)[::size] if flat else np.zeros(0, np.uint64), bits)
+            slots, own = (np.concatenate(x) for x in zip(*places))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slots), pa.array((np.uint64(1) << own).view(np.int64))], names=["slot", "bits"]
+            )
+
+    found = frequent.select("lang", "text").mapInArrow(run, "slot BIGINT, bits BIGINT")
+    rows = found.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    slots = np.zeros(1 << bits - 6, dtype=np.uint64)
+    slots[rows.column("slot").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return frequent.sparkSession.sparkContext.broadcast(slots)
 
 
 class Sums:
     """Counts of texts by language, handed on as batches before they grow too many."""
 
-    schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("n", pa.int64())])
-
     def __init__(self) -> None:
         self.by_lang: dict[str, defaultdict[bytes, int]] = defaultdict(lambda: defaultdict(int))
         self.long = 0
 
     def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """(key, n); a key is the language, a bar and the text."""
         if not last and sum(map(len, self.by_lang.values())) + self.long // LONG < HELD:
             return
         for lang, counts in self.by_lang.items():
-            texts, numbers = list(counts), list(counts.values())
+            prefix, texts, numbers = lang.encode() + BAR, list(counts), list(counts.values())
             for start in range(0, len(texts), 20_000):
-                part = texts[start : start + 20_000]
+                keys = [prefix + text for text in texts[start : start + 20_000]]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), pa.string()),
-                        pa.array(part, pa.binary()).cast(pa.string()),
-                        pa.array(numbers[start : start + 20_000], pa.int64()),
-                    ],
-                    schema=self.schema,
+                    [pa.array(keys, pa.binary()), pa.array(numbers[start : start + 20_000], pa.int64())], names=["key", "n"]
                 )
         self.by_lang.clear()
         self.long = 0
 
 
-class Parser:
-    """Cuts texts into chunks."""
-
-    def __init__(self, settings: Settings) -> None:
-        self.overlap = settings.most_words - 1
-        self.longest = settings.longest
-        self.triggers = Triggers(settings.modulus)
-
-    def own(self, words: list[bytes]) -> int:
-        """How many of a chunk's words are its own, as said by its words."""
-        known = self.triggers
-        most = min(len(words), self.longest)
-        return next((i for i in range(1, most) if known[words[i]]), most)
-
-    def chunks(self, text: bytes) -> Iterator[tuple[bytes, int]]:
-        """(chunk, own words) of the whole text."""
-        known, longest, overlap = self.triggers, self.longest, self.overlap
-        for piece in text.translate(LOWER).split(b"\n"):
-            rest: list[bytes] = []
-            for block, last in words_in_blocks(piece):
-                words = rest + block if rest else block
-                start = 0
-                # What ends by a cut stands in full only if the words behind the cut do.
-                sure = len(words) if last else len(words) - overlap
-                for i in range(1, sure):
-                    if known[words[i]] or i - start == longest:
-                        yield b" ".join(words[start : i + overlap]), i - start
-                        start = i
-                rest = words[start:]
-            if rest:
-                yield b" ".join(rest), len(rest)
-
-
-def parse(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(lang, text, n): the dictionary of chunks; the empty chunk has the number of words."""
-    rows = docs.select(
+def summed(rows: DataFrame, run) -> DataFrame:
+    """(key, n) of what the tasks have counted."""
+    return rows.mapInArrow(run, "key BINARY, n BIGINT").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def named(sums: DataFrame) -> DataFrame:
+    """(lang, text, n) of (key, n)."""
+    text = F.substring_index(F.col("key").cast("string"), BAR.decode(), -1)
+    lang = F.expr("cast(substring(key, 1, octet_length(key) - octet_length(text) - 1) as string)")
+    return sums.select("key", text.alias("text"), "n").select(lang.alias("lang"), "text", "n")
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias(free_name(docs, "_lang")),
         F.col("text").cast("string").alias(free_name(docs, "_text")),
     )
 
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(key, n) of all words; the empty word has the number of all."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser, sums = Parser(settings), Sums()
+        sums = Sums()
         for part in slices(batches):
             for lang, raw in zip(part.column(0).to_pylist(), raw_texts(part.column(1))):
                 counts, total = sums.by_lang[lang], 0
-                for chunk, own in parser.chunks(raw or b""):
-                    counts[chunk] += 1
-                    total += own
-                    if len(chunk) > LONG:
-                        sums.long += len(chunk)
+                for piece in (raw or b"").translate(LOWER).split(b"\n"):
+                    for words in words_in_blocks(piece):
+                        total += len(words)
+                        for word in words:
+                            counts[word] += 1
+                            if len(word) > LONG:
+                                sums.long += len(word)
                 if total:
                     counts[b""] += total
                 yield from sums.batches()
         yield from sums.batches(last=True)
 
-    return rows.mapInArrow(run, "lang STRING, text STRING, n BIGINT").groupBy("lang", "text").agg(F.sum("n").alias("n"))
+    return summed(texts_of(docs), run)
 
 
-def count_phrases(dictionary: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(lang, text, n) of all phrases of one word up to the longest."""
+RARE, PLAIN, TRIGGER = 0, 1, 2
+
+
+def is_trigger(word: bytes, modulus: int) -> bool:
+    return zlib.crc32(word) % modulus == 0
+
+
+class Kinds(dict):
+    """Word: rare, plain or a trigger in one language, kept up to a bound."""
+
+    def __init__(self, lang: str, frequent: Filter, settings: Settings) -> None:
+        self.hashes, self.frequent, self.modulus = Hashes(lang), frequent, settings.modulus
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > KNOWN:
+            self.clear()
+        if not self.frequent(np.array([self.hashes[word]], np.uint64))[0]:
+            kind = RARE
+        else:
+            kind = TRIGGER if is_trigger(word, self.modulus) else PLAIN
+        self[word] = kind
+        return kind
+
+
+def chunks_of(run: list[bytes], cuts: list[int], last: bool, overlap: int) -> tuple[list[bytes], list[bytes], list[int]]:
+    """Chunks of a run of words that is cut at ``cuts``; and words and cuts that are left.
+
+    Unless the run ends here, a chunk waits until the words after it are known.
+    """
+    starts = [0, *cuts]
+    ready = len(starts) if last else sum(c + overlap <= len(run) for c in cuts)
+    ends = [*cuts, len(run)]
+    made = [b" ".join(run[a : b + overlap]) for a, b in zip(starts[:ready], ends) if a + 1 < len(run)]
+    if last:
+        return made, [], []
+    begin = starts[ready]
+    return made, run[begin:], [c - begin for c in cuts[ready:]]
+
+
+def parse(docs: DataFrame, frequent: Broadcast, settings: Settings = Settings()) -> DataFrame:
+    """(key, n): the dictionary of chunks of two words and more."""
+    overlap, longest = settings.most_words - 1, settings.longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser, sums = Parser(settings), Sums()
+        sums = Sums()
+        known = Filter(frequent.value, settings.filter_bits)
+        by_lang: dict[str, Kinds] = {}
         for part in slices(batches):
-            for lang, raw, n in zip(part.column(0).to_pylist(), raw_texts(part.column(1)), part.column(2).to_pylist()):
-                counts, words = sums.by_lang[lang], raw.split(b" ")
-                for i in range(parser.own(words)):
-                    phrase = words[i]
-                    counts[phrase] += n
-                    for word in words[i + 1 : i + settings.most_words]:
-                        phrase = phrase + b" " + word
-                        counts[phrase] += n
-                if len(raw) > LONG:
-                    sums.long += settings.most_words**2 * len(raw)
+            for lang, raw in zip(part.column(0).to_pylist(), raw_texts(part.column(1))):
+                if lang not in by_lang:
+                    by_lang[lang] = Kinds(lang, known, settings)
+                counts, kinds = sums.by_lang[lang], by_lang[lang]
+                for piece in (raw or b"").translate(LOWER).split(b"\n"):
+                    words: list[bytes] = []
+                    cuts: list[int] = []
+                    start = 0
+                    for block in words_in_blocks(piece):
+                        for word in block:
+                            kind = kinds[word]
+                            if kind == RARE:
+                                if len(words) > 1:
+                                    for chunk in chunks_of(words, cuts, True, overlap)[0]:
+                                        counts[chunk] += 1
+                                words, cuts, start = [], [], 0
+                                continue
+                            if (kind == TRIGGER and words) or len(words) - start == longest:
+                                start = len(words)
+                                cuts.append(start)
+                            words.append(word)
+                            if len(words) > WORDS_AT_ONCE:
+                                before = len(words)
+                                made, words, cuts = chunks_of(words, cuts, False, overlap)
+                                start -= before - len(words)
+                                for chunk in made:
+                                    counts[chunk] += 1
+                    if len(words) > 1:
+                        for chunk in chunks_of(words, cuts, True, overlap)[0]:
+                            counts[chunk] += 1
+                if raw and len(raw) > LONG * LONG:
+                    sums.long += len(raw)
                 yield from sums.batches()
         yield from sums.batches(last=True)
 
-    chunks = dictionary.filter(F.col("text") != "").select("lang", "text", "n")
-    return chunks.mapInArrow(run, "lang STRING, text STRING, n BIGINT").groupBy("lang", "text").agg(F.sum("n").alias("n"))
+    return summed(texts_of(docs), run)
 
 
-def word_count(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+def own_words(words: list[bytes], settings: Settings) -> int:
+    """How many of a chunk's words are its own, as said by its words."""
+    most = min(len(words), settings.longest)
+    return next((i for i in range(1, most) if is_trigger(words[i], settings.modulus)), most)
+
+
+def count_phrases(dictionary: DataFrame, size: int, frequent: Broadcast | None, settings: Settings = Settings()) -> DataFrame:
+    """(key, n) of the phrases of so many words, both of whose parts ``frequent`` may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
+        known = None if frequent is None else Filter(frequent.value, settings.filter_bits)
+        hashes: dict[str, Hashes] = {}
+        for part in slices(batches):
+            flat: list[bytes] = []
+            codes: list[int] = []
+            spans: list[tuple[str, int, int, int]] = []  # language, first place, end of places, count
+            for lang, raw, n in zip(part.column(0).to_pylist(), raw_texts(part.column(1)), part.column(2).to_pylist()):
+                words = raw.split(b" ")
+                end = min(own_words(words, settings), len(words) - size + 1)
+                if end > 0:
+                    spans.append((lang, len(flat), len(flat) + end, n))
+                    flat += words
+                    if known is not None:
+                        own = hashes.setdefault(lang, Hashes(lang))
+                        codes += map(own.__getitem__, words)
+                if len(raw) > LONG:
+                    sums.long += size * len(raw)
+            may = None
+            if known is not None and len(codes) >= size:
+                parts = known(part_hashes(np.array(codes, np.uint64), size - 1))
+                may = (parts[:-1] & parts[1:]).tolist()
+            for lang, first, end, n in spans:
+                counts = sums.by_lang[lang]
+                for at in range(first, end):
+                    if may is None or may[at]:
+                        counts[b" ".join(flat[at : at + size])] += n
+            yield from sums.batches()
+        yield from sums.batches(last=True)
+
+    return summed(named(dictionary), run)
 
 
 def scored(frequent: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -240,20 +385,28 @@ def inside_longer(frequent: DataFrame, settings: Settings = Settings()) -> DataF
 def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of the best phrases of each language.
 
-    The dictionary and the frequent phrases are written to the shared folder.
+    Words, the dictionary and frequent phrases are written to the shared folder.
     """
     spark = docs.sparkSession
     folder = new_run_folder(spark, "phrases")
-    parse(docs, settings).write.parquet(f"{folder}/dictionary")
-    dictionary = spark.read.parquet(f"{folder}/dictionary")
-    totals = dictionary.filter(F.col("text") == "").select("lang", F.col("n"))
-    (
-        count_phrases(dictionary, settings)
-        .filter(F.col("n") >= settings.least_count)
-        .withColumn("words", word_count(F.col("text")))
-        .write.parquet(f"{folder}/frequent")
-    )
-    frequent = spark.read.parquet(f"{folder}/frequent")
+
+    def write_frequent(sums: DataFrame, size: int) -> DataFrame:
+        enough = named(sums.filter(F.col("n") >= settings.least_count)).withColumn("words", F.lit(size))
+        enough.write.parquet(f"{folder}/frequent/size={size}")
+        return spark.read.schema("lang STRING, text STRING, n BIGINT, words INT").parquet(f"{folder}/frequent/size={size}")
+
+    count_words(docs).write.parquet(f"{folder}/words")
+    words = spark.read.schema("key BINARY, n BIGINT").parquet(f"{folder}/words")
+    empty = F.substring(F.col("key"), -1, 1) == F.lit(BAR)
+    totals = named(words.filter(empty)).select("lang", "n")
+    frequent = write_frequent(words.filter(~empty), 1)
+    parse(docs, make_filter(frequent, 1, settings.filter_bits), settings).write.parquet(f"{folder}/dictionary")
+    dictionary = spark.read.schema("key BINARY, n BIGINT").parquet(f"{folder}/dictionary")
+    known = None
+    for size in range(2, settings.most_words + 1):
+        found = write_frequent(count_phrases(dictionary, size, known, settings), size)
+        known = make_filter(found, size, settings.filter_bits) if size < settings.most_words else None
+        frequent = frequent.unionByName(found)
     kept = (
         scored(frequent, settings)
         .join(inside_longer(frequent, settings), ["lang", "phrase"], "left")
