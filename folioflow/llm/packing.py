@@ -26,7 +26,7 @@ import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -40,13 +40,16 @@ from tokenizers import Tokenizer
 
 from folioflow.functions.ranking import position_in_group
 from folioflow.llm.batches import free_name, raw_texts, slices
+from folioflow.llm.bpe_trie import TO_BYTES
 from folioflow.llm.token_counts import PRETOKEN
 from folioflow.session import new_run_folder
 
 CAPACITY = 2_048
-KNOWN_BYTES = 64_000_000
+KNOWN_BYTES = 200_000_000
 #: Kept per known pre-token besides its own bytes: a dict entry and two objects.
 ENTRY_BYTES = 200
+#: Letters with what may stand around them, as three pieces of the tokenizer's pattern.
+PLAIN = re.compile("(\\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 #: Characters of a text that are held as separate pre-tokens at a time.
 BLOCK = 1_000_000
 #: A blank behind a character that is none: no token is joined over such a place.
@@ -65,7 +68,12 @@ class Run(NamedTuple):
 
 
 class Encoder:
-    """Ids of a text, as bytes; a distinct pre-token is encoded once while it is kept."""
+    """Ids of a text, as bytes; a distinct pre-token is encoded once while it is kept.
+
+    In a pre-token of letters with a blank or line end before and marks behind, the
+    pieces of the tokenizer's pattern are plain to see. Each goes to the library's
+    merges directly, once while it is kept; any other pre-token goes through all of it.
+    """
 
     def __init__(self, path: str) -> None:
         # Threads and caches of the library outlive a task; neither is of use here.
@@ -74,25 +82,50 @@ class Encoder:
         self.library.model._resize_cache(0)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.merge = self.library.model.tokenize
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = {"": b""}
         self.held = 0
 
-    def learn(self, words: list[str]) -> None:
-        for start in range(0, len(words), 10_000):
-            part = words[start : start + 10_000]
+    def keep(self, text: str, ids: bytes) -> bytes:
+        self.known[text] = ids
+        self.held += len(text) + len(ids) + ENTRY_BYTES
+        return ids
+
+    def piece(self, text: str) -> bytes:
+        """Ids of one piece, which are those of a pre-token of the same letters."""
+        found = self.known.get(text)
+        if found is None:
+            plain = text if text.isascii() else text.encode().decode("latin-1")
+            ids = [t.id for t in self.merge(plain.translate(TO_BYTES))]
+            found = self.keep(text, struct.pack(f"<{len(ids)}I", *ids))
+        return found
+
+    def learn(self, words: Iterable[str]) -> None:
+        others = []
+        for word in words:
+            plain = PLAIN.fullmatch(word)
+            if plain is None:
+                others.append(word)
+            elif plain[2] == word:
+                self.piece(word)
+            else:
+                self.keep(word, b"".join(map(self.piece, plain.groups())))
+        for start in range(0, len(others), 10_000):
+            part = others[start : start + 10_000]
             for word, coded in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                ids = coded.ids
-                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-                self.held += len(word) + 4 * len(ids) + ENTRY_BYTES
+                self.keep(word, struct.pack(f"<{len(coded.ids)}I", *coded.ids))
 
     def block(self, text: str) -> bytes:
         words = PRETOKEN.findall(text)
         new = set(words).difference(self.known)
         if new:
             if self.held > KNOWN_BYTES:
-                self.known.clear()
-                self.held, new = 0, set(words)
-            self.learn(list(new))
+                self.forget()
+                new = set(words)
+            self.learn(new)
         return b"".join(map(self.known.__getitem__, words))
 
     def __call__(self, text: str) -> bytes:
