@@ -3,7 +3,8 @@
 Counting is by prefix-free parsing. A piece of text is cut before each trigger, a
 word chosen by its own hash, into chunks; a chunk keeps the first words of the next
 one, as many as a phrase may reach over the cut. Where a chunk's own words end
-follows from its words alone, so equal chunks are equal parses. Chunks are counted
+follows from its words alone, so equal chunks are equal parses; that number is kept
+with the chunk, so that it need not be found again. Chunks are counted
 first, and the phrases inside a chunk once for all its occurrences, weighted by
 them: those that start in its own words, so a phrase over a cut is counted once.
 
@@ -23,12 +24,13 @@ count each; other columns are ignored; no rows give no phrases.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -53,44 +55,74 @@ class Settings(NamedTuple):
     filter_bits: int = 26
 
 
+#: Lower case; what ends a piece becomes STOP, which no word holds, and a tab a blank.
+ENDS = b".,;:!?\n\x0b\x0c\r"
+STOP = b"."
 LOWER = bytes.maketrans(
-    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n\n "
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + STOP * len(ENDS) + b" "
 )
+#: A chunk's key starts with the number of words that are not its own.
+DIGITS = [b"%d" % i for i in range(10)]
 #: Sums that a task holds before it hands them on; texts over ``LONG`` bytes count by their bytes.
 HELD = 400_000
 LONG = 1_000
-#: Words of a piece that are held at a time, and bytes of it that are cut into words.
-WORDS_AT_ONCE = 10_000
-BLOCK = 1_000_000
-KNOWN = 200_000
+#: Bytes of text, words of a language and places of phrases that are held at a time.
+BLOCK = 4_000_000
+KNOWN = 400_000
+PLACES = 2_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Between language and text in a key; no word holds it.
 BAR = b"\t"
 
 
-def words_in_blocks(piece: bytes) -> Iterator[list[bytes]]:
-    """The words of a piece, of a long one block by block."""
+def blocks_of(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in lower case, and a STOP for what ends a piece.
+
+    A long text comes in blocks that end with a piece, so a block is as large as the
+    longest piece at most, or a little more than BLOCK.
+    """
+    clean = text.translate(LOWER)
     start = 0
-    while len(piece) - start > BLOCK:
-        blank = piece.find(b" ", start + BLOCK)
-        if blank < 0:
-            break
-        yield piece[start:blank].split()
-        start = blank
-    yield piece[start:].split() if start else piece.split()
+    while start < len(clean):
+        stop = clean.find(STOP, start + BLOCK) + 1 or len(clean)
+        yield clean[start:stop].replace(STOP, b" . ").split()
+        start = stop
 
 
-class Hashes(dict):
-    """Word: its hash in one language, kept up to a bound."""
+class Words(dict):
+    """Numbers of words in one language, with their hashes. STOP and the digits come first."""
 
     def __init__(self, lang: str) -> None:
         self.prefix = lang.encode() + BAR
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.texts: list[bytes] = []
+        self.letters = 0
+        self.hashes = np.zeros(1_024, dtype=np.uint64)
+        self.hashed = 0
+        self.numbers([STOP, *DIGITS])
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > KNOWN:
-            self.clear()
-        known = self[word] = xxhash.xxh64_intdigest(self.prefix + word)
-        return known
+        self[word] = number = len(self.texts)
+        self.texts.append(word)
+        self.letters += len(word)
+        return number
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        new = self.texts[self.hashed :]
+        if new:
+            if len(self.texts) > len(self.hashes):
+                self.hashes = np.concatenate([self.hashes[: self.hashed], np.zeros(2 * len(self.texts), np.uint64)])
+            digest, prefix = xxhash.xxh64_intdigest, self.prefix
+            self.hashes[self.hashed : len(self.texts)] = [digest(prefix + word) for word in new]
+            self.hashed = len(self.texts)
+        return found
+
+    def full(self) -> bool:
+        return len(self.texts) > KNOWN or self.letters > KNOWN * 20
 
 
 def spots(hashes: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -125,18 +157,21 @@ def make_filter(frequent: DataFrame, size: int, bits: int) -> Broadcast:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[str, Hashes] = {}
+        by_lang: dict[str, Words] = {}
         for batch in batches:
-            flat = [
-                hashes.setdefault(lang, Hashes(lang))[word]
-                for lang, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)))
-                for word in text.split(b" ")
-            ]
-            places = spots(part_hashes(np.array(flat, np.uint64), size)[::size] if flat else np.zeros(0, np.uint64), bits)
-            slots, own = (np.concatenate(x) for x in zip(*places))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array((np.uint64(1) << own).view(np.int64))], names=["slot", "bits"]
-            )
+            texts: dict[str, list[bytes]] = defaultdict(list)
+            for lang, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
+                texts[lang] += text.split(b" ")
+            for lang, flat in texts.items():
+                words = by_lang.setdefault(lang, Words(lang))
+                numbers = words.numbers(flat)
+                parts = part_hashes(words.hashes[numbers], size)[::size]
+                slots, own = (np.concatenate(x) for x in zip(*spots(parts, bits)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slots), pa.array((np.uint64(1) << own).view(np.int64))], names=["slot", "bits"]
+                )
+                if words.full():
+                    words.reset()
 
     found = frequent.select("lang", "text").mapInArrow(run, "slot BIGINT, bits BIGINT")
     rows = found.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
@@ -149,7 +184,7 @@ class Sums:
     """Counts of texts by language, handed on as batches before they grow too many."""
 
     def __init__(self) -> None:
-        self.by_lang: dict[str, defaultdict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        self.by_lang: dict[str, Counter[bytes]] = defaultdict(Counter)
         self.long = 0
 
     def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
@@ -193,147 +228,167 @@ def count_words(docs: DataFrame) -> DataFrame:
         sums = Sums()
         for part in slices(batches):
             for lang, raw in zip(part.column(0).to_pylist(), raw_texts(part.column(1))):
-                counts, total = sums.by_lang[lang], 0
-                for piece in (raw or b"").translate(LOWER).split(b"\n"):
-                    for words in words_in_blocks(piece):
-                        total += len(words)
-                        for word in words:
-                            counts[word] += 1
-                            if len(word) > LONG:
-                                sums.long += len(word)
-                if total:
-                    counts[b""] += total
-                yield from sums.batches()
+                for tokens in blocks_of(raw or b""):
+                    counts = sums.by_lang[lang]
+                    counts.update(tokens)
+                    counts[b""] += len(tokens) - counts.pop(STOP, 0)
+                    if len(tokens) * LONG < len(raw):
+                        sums.long += len(raw)
+                    yield from sums.batches()
         yield from sums.batches(last=True)
 
-    return summed(texts_of(docs), run)
-
-
-RARE, PLAIN, TRIGGER = 0, 1, 2
+    return summed(texts_of(docs), run).filter(F.col("n") > 0)
 
 
 def is_trigger(word: bytes, modulus: int) -> bool:
     return zlib.crc32(word) % modulus == 0
 
 
-class Kinds(dict):
-    """Word: rare, plain or a trigger in one language, kept up to a bound."""
-
-    def __init__(self, lang: str, frequent: Filter, settings: Settings) -> None:
-        self.hashes, self.frequent, self.modulus = Hashes(lang), frequent, settings.modulus
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > KNOWN:
-            self.clear()
-        if not self.frequent(np.array([self.hashes[word]], np.uint64))[0]:
-            kind = RARE
-        else:
-            kind = TRIGGER if is_trigger(word, self.modulus) else PLAIN
-        self[word] = kind
-        return kind
-
-
-def chunks_of(run: list[bytes], cuts: list[int], last: bool, overlap: int) -> tuple[list[bytes], list[bytes], list[int]]:
-    """Chunks of a run of words that is cut at ``cuts``; and words and cuts that are left.
+def chunk_places(plain: np.ndarray, trigger: np.ndarray, overlap: int, longest: int) -> tuple[np.ndarray, ...]:
+    """(first, end of its own, end) of the chunks in a row of words.
 
-    Unless the run ends here, a chunk waits until the words after it are known.
+    Chunks lie in runs of ``plain`` words. They start with their run, with a trigger,
+    or after ``longest`` words without one.
     """
-    starts = [0, *cuts]
-    ready = len(starts) if last else sum(c + overlap <= len(run) for c in cuts)
-    ends = [*cuts, len(run)]
-    made = [b" ".join(run[a : b + overlap]) for a, b in zip(starts[:ready], ends) if a + 1 < len(run)]
-    if last:
-        return made, [], []
-    begin = starts[ready]
-    return made, run[begin:], [c - begin for c in cuts[ready:]]
+    breaks = np.flatnonzero(np.append(~plain, True))
+    first = plain & np.append(True, ~plain[:-1]) if len(plain) else plain
+    starts = np.flatnonzero(first | (plain & trigger))
+    run_ends = breaks[np.searchsorted(breaks, starts)]
+    ends = np.minimum(np.append(starts[1:], len(plain)), run_ends)
+    parts = -(-(ends - starts) // longest)
+    if (parts > 1).any():
+        step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        starts = np.repeat(starts, parts) + step * longest
+        ends, run_ends = np.minimum(np.repeat(ends, parts), starts + longest), np.repeat(run_ends, parts)
+    return starts, ends, np.minimum(ends + overlap, run_ends)
 
 
 def parse(docs: DataFrame, frequent: Broadcast, settings: Settings = Settings()) -> DataFrame:
-    """(key, n): the dictionary of chunks of two words and more."""
+    """(key, n): the dictionary of chunks of two words and more.
+
+    The text of a key starts with the number of words that the chunk does not own.
+    """
     overlap, longest = settings.most_words - 1, settings.longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
-        known = Filter(frequent.value, settings.filter_bits)
-        by_lang: dict[str, Kinds] = {}
+        may_be = Filter(frequent.value, settings.filter_bits)
+        by_lang: dict[str, Words] = {}
+        told: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # by word: frequent, a trigger
+
+        def kinds(lang: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
+            plain, trigger = told.get(lang, (np.zeros(0, bool), np.zeros(0, bool)))
+            new = words.texts[len(plain) :]
+            if new:
+                also = may_be(words.hashes[len(plain) : words.hashed])
+                cuts = np.array([is_trigger(w, settings.modulus) for w in new])
+                if not len(plain):
+                    also[0] = False  # STOP
+                plain, trigger = np.append(plain, also), np.append(trigger, cuts)
+                told[lang] = plain, trigger
+            return plain, trigger
+
+        def count(lang: str, tokens: list[bytes]) -> None:
+            words = by_lang.setdefault(lang, Words(lang))
+            numbers = words.numbers(tokens)
+            plain, trigger = kinds(lang, words)
+            places = chunk_places(plain[numbers], trigger[numbers], overlap, longest)
+            counts = sums.by_lang[lang]
+            for first, end, stop in zip(*(x.tolist() for x in places)):
+                if stop - first > 1:
+                    counts[DIGITS[stop - end] + b" " + b" ".join(tokens[first:stop])] += 1
+            if words.full():
+                words.reset()
+                del told[lang]
+
         for part in slices(batches):
+            waiting: dict[str, list[bytes]] = defaultdict(list)
             for lang, raw in zip(part.column(0).to_pylist(), raw_texts(part.column(1))):
-                if lang not in by_lang:
-                    by_lang[lang] = Kinds(lang, known, settings)
-                counts, kinds = sums.by_lang[lang], by_lang[lang]
-                for piece in (raw or b"").translate(LOWER).split(b"\n"):
-                    words: list[bytes] = []
-                    cuts: list[int] = []
-                    start = 0
-                    for block in words_in_blocks(piece):
-                        for word in block:
-                            kind = kinds[word]
-                            if kind == RARE:
-                                if len(words) > 1:
-                                    for chunk in chunks_of(words, cuts, True, overlap)[0]:
-                                        counts[chunk] += 1
-                                words, cuts, start = [], [], 0
-                                continue
-                            if (kind == TRIGGER and words) or len(words) - start == longest:
-                                start = len(words)
-                                cuts.append(start)
-                            words.append(word)
-                            if len(words) > WORDS_AT_ONCE:
-                                before = len(words)
-                                made, words, cuts = chunks_of(words, cuts, False, overlap)
-                                start -= before - len(words)
-                                for chunk in made:
-                                    counts[chunk] += 1
-                    if len(words) > 1:
-                        for chunk in chunks_of(words, cuts, True, overlap)[0]:
-                            counts[chunk] += 1
-                if raw and len(raw) > LONG * LONG:
-                    sums.long += len(raw)
-                yield from sums.batches()
+                for tokens in blocks_of(raw or b""):
+                    if len(tokens) * LONG < len(raw):
+                        sums.long += settings.most_words * len(raw)
+                    waiting[lang] += [*tokens, STOP]
+                    if len(waiting[lang]) > BLOCK // 8:
+                        count(lang, waiting.pop(lang))
+            for lang, tokens in waiting.items():
+                count(lang, tokens)
+            yield from sums.batches()
         yield from sums.batches(last=True)
 
     return summed(texts_of(docs), run)
 
 
-def own_words(words: list[bytes], settings: Settings) -> int:
-    """How many of a chunk's words are its own, as said by its words."""
-    most = min(len(words), settings.longest)
-    return next((i for i in range(1, most) if is_trigger(words[i], settings.modulus)), most)
+class Places:
+    """Phrases as numbers of words, and how often their chunks occur, of one language."""
+
+    def __init__(self, lang: str) -> None:
+        self.words = Words(lang)
+        self.rows: list[np.ndarray] = []
+        self.weights: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, rows: np.ndarray, weights: np.ndarray) -> None:
+        self.rows.append(rows.astype(np.int32))
+        self.weights.append(weights)
+        self.held += len(weights)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """(key, n) of the distinct phrases."""
+        if self.held:
+            rows, weights = np.concatenate(self.rows, axis=1).astype(np.int64), np.concatenate(self.weights)
+            codes = rows[0]
+            for more in rows[1:]:
+                codes = np.unique(codes, return_inverse=True)[1] * len(self.words.texts) + more
+            order = np.argsort(codes, kind="stable")
+            codes = codes[order]
+            begins = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+            sums, firsts = np.add.reduceat(weights[order], begins), order[begins]
+            texts = pa.array(self.words.texts, pa.binary())
+            for start in range(0, len(firsts), 50_000):
+                part = firsts[start : start + 50_000]
+                parts = [texts.take(pa.array(own[part])) for own in rows]
+                phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
+                keys = pc.binary_join_element_wise(
+                    pa.scalar(self.words.prefix, pa.binary()), phrases, pa.scalar(b"", pa.binary())
+                )
+                yield pa.RecordBatch.from_arrays([keys, pa.array(sums[start : start + 50_000])], names=["key", "n"])
+            self.rows, self.weights, self.held = [], [], 0
+        if self.words.full():
+            self.words.reset()
 
 
 def count_phrases(dictionary: DataFrame, size: int, frequent: Broadcast | None, settings: Settings = Settings()) -> DataFrame:
     """(key, n) of the phrases of so many words, both of whose parts ``frequent`` may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Sums()
-        known = None if frequent is None else Filter(frequent.value, settings.filter_bits)
-        hashes: dict[str, Hashes] = {}
-        for part in slices(batches):
-            flat: list[bytes] = []
-            codes: list[int] = []
-            spans: list[tuple[str, int, int, int]] = []  # language, first place, end of places, count
+        may_be = None if frequent is None else Filter(frequent.value, settings.filter_bits)
+        by_lang: dict[str, Places] = {}
+        for part in slices(batches, rows=20_000):
+            chunks: dict[str, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
             for lang, raw, n in zip(part.column(0).to_pylist(), raw_texts(part.column(1)), part.column(2).to_pylist()):
-                words = raw.split(b" ")
-                end = min(own_words(words, settings), len(words) - size + 1)
-                if end > 0:
-                    spans.append((lang, len(flat), len(flat) + end, n))
-                    flat += words
-                    if known is not None:
-                        own = hashes.setdefault(lang, Hashes(lang))
-                        codes += map(own.__getitem__, words)
-                if len(raw) > LONG:
-                    sums.long += size * len(raw)
-            may = None
-            if known is not None and len(codes) >= size:
-                parts = known(part_hashes(np.array(codes, np.uint64), size - 1))
-                may = (parts[:-1] & parts[1:]).tolist()
-            for lang, first, end, n in spans:
-                counts = sums.by_lang[lang]
-                for at in range(first, end):
-                    if may is None or may[at]:
-                        counts[b" ".join(flat[at : at + size])] += n
-            yield from sums.batches()
-        yield from sums.batches(last=True)
+                chunks[lang][0].append(raw)
+                chunks[lang][1].append(n)
+            for lang, (texts, counts) in chunks.items():
+                places = by_lang.setdefault(lang, Places(lang))
+                # All chunks in one row, each a digit, its words and a STOP.
+                numbers = places.words.numbers(b" . ".join([*texts, b""]).split())
+                ends = np.flatnonzero(numbers == 0)
+                begins = np.append(0, ends[:-1] + 1)
+                own = np.minimum(ends - (numbers[begins] - 1), ends - size + 1) - begins - 1
+                own = np.maximum(own, 0)
+                total = int(own.sum())
+                at = np.arange(total) + np.repeat(begins + 1 - (np.cumsum(own) - own), own)
+                weights = np.repeat(np.array(counts, dtype=np.int64), own)
+                if may_be is not None and total:
+                    parts = may_be(part_hashes(places.words.hashes[numbers], size - 1))
+                    both = parts[at] & parts[at + 1]
+                    at, weights = at[both], weights[both]
+                places.add(np.stack([numbers[at + step] for step in range(size)]), weights)
+            if sum(p.held for p in by_lang.values()) > PLACES or any(p.words.full() for p in by_lang.values()):
+                for places in by_lang.values():
+                    yield from places.batches()
+        for places in by_lang.values():
+            yield from places.batches()
 
     return summed(named(dictionary), run)
 
