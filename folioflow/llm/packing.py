@@ -20,6 +20,7 @@ each; a NULL id is carried; other columns are ignored; no rows give no pieces.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -45,11 +46,13 @@ from folioflow.llm.token_counts import PRETOKEN
 from folioflow.session import new_run_folder
 
 CAPACITY = 2_048
-KNOWN_BYTES = 200_000_000
+KNOWN_BYTES = 90_000_000
 #: Kept per known pre-token besides its own bytes: a dict entry and two objects.
-ENTRY_BYTES = 200
-#: Letters with what may stand around them, as three pieces of the tokenizer's pattern.
-PLAIN = re.compile("(\\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+ENTRY_BYTES = 150
+#: Behind letters, a run of these is one piece of the tokenizer's pattern.
+MARKS = ".,;:!?#$%&*"
+#: Letters beyond ASCII that are known to be such to the tokenizer's pattern.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Characters of a text that are held as separate pre-tokens at a time.
 BLOCK = 1_000_000
 #: A blank behind a character that is none: no token is joined over such a place.
@@ -89,34 +92,36 @@ class Encoder:
         self.known: dict[str, bytes] = {"": b""}
         self.held = 0
 
-    def keep(self, text: str, ids: bytes) -> bytes:
-        self.known[text] = ids
-        self.held += len(text) + len(ids) + ENTRY_BYTES
-        return ids
-
     def piece(self, text: str) -> bytes:
         """Ids of one piece, which are those of a pre-token of the same letters."""
         found = self.known.get(text)
         if found is None:
             plain = text if text.isascii() else text.encode().decode("latin-1")
             ids = [t.id for t in self.merge(plain.translate(TO_BYTES))]
-            found = self.keep(text, struct.pack(f"<{len(ids)}I", *ids))
+            found = self.known[text] = struct.pack(f"<{len(ids)}I", *ids)
+            self.held += len(text) + len(found) + ENTRY_BYTES
         return found
 
     def learn(self, words: Iterable[str]) -> None:
+        known, piece = self.known, self.piece
         others = []
         for word in words:
-            plain = PLAIN.fullmatch(word)
-            if plain is None:
+            core = word.rstrip(MARKS)
+            white = core[:1] if core[:1] in (" ", "\n") else ""
+            letters = core[len(white) :]
+            if not letters.isalpha() or not (letters.isascii() or LATIN.fullmatch(letters)):
                 others.append(word)
-            elif plain[2] == word:
-                self.piece(word)
-            else:
-                self.keep(word, b"".join(map(self.piece, plain.groups())))
+                continue
+            ids = piece(core) if white != "\n" else piece(white) + piece(letters)
+            if len(core) < len(word):
+                ids += piece(word[len(core) :])
+            known[word] = ids
+            self.held += ENTRY_BYTES
         for start in range(0, len(others), 10_000):
             part = others[start : start + 10_000]
             for word, coded in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.keep(word, struct.pack(f"<{len(coded.ids)}I", *coded.ids))
+                known[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
+                self.held += 5 * len(word) + ENTRY_BYTES
 
     def block(self, text: str) -> bytes:
         words = PRETOKEN.findall(text)
@@ -125,7 +130,11 @@ class Encoder:
             if self.held > KNOWN_BYTES:
                 self.forget()
                 new = set(words)
-            self.learn(new)
+            gc.disable()  # what is made here has no cycles
+            try:
+                self.learn(new)
+            finally:
+                gc.enable()
         return b"".join(map(self.known.__getitem__, words))
 
     def __call__(self, text: str) -> bytes:
