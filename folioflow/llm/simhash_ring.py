@@ -17,8 +17,12 @@ at most 2, and so on. The rule is used twice:
 Equal fingerprints are one node. A key's fingerprints are compared where Spark
 has sorted them together, and only the links that join two groups leave the
 task: a key of n fingerprints gives n - 1 links at most, whatever the number of
-its pairs. In keys too crowded for pairs, links are found over the values that
-lie within half the distance of both ends; the groups are the same.
+its pairs. Keys are counted first. Of those with more than ``crowded``
+fingerprints the rows go another way, by the values that lie midway: two
+fingerprints are within the distance exactly if a value is within half of it, rounded
+down, of one and within the rest of the other. Such values are many, and few
+fingerprints share one, so a crowded key spreads over all tasks. Each way gives links
+that are true and that join the same groups.
 
 Defined results: NULL and empty texts have fingerprint zero and are linked like
 any other. Among rows of a component the least id counts, NULL last, so a
@@ -35,7 +39,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.batches import free_name, measure
@@ -45,7 +49,7 @@ from folioflow.session import new_run_folder
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 BITS = 64
 HASHES_AT_ONCE = 1 << 16
-MIDDLES_AT_ONCE = 1 << 22
+MIDDLES_AT_ONCE = 1 << 20
 KIND_SHIFT = 48  # a key's kind stands above its bits
 
 
@@ -55,7 +59,7 @@ class Settings:
     distance: int = 4
     seed: int = 42
     chain: int = 3  # segments that a key takes part in
-    crowded: int = 4_096  # fingerprints of a key beyond which pairs are not formed
+    crowded: int = 2_048  # fingerprints of a key beyond which its rows are spread
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -197,41 +201,64 @@ def pair_links(values: np.ndarray, start: int, settings: Settings) -> tuple[np.n
     return values[np.concatenate(found_a)], values[np.concatenate(found_b)]
 
 
-def midway_links(values: np.ndarray, free: list[int], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Links of one key by shared values within half of an even distance.
+def free_bits(kind: int, settings: Settings) -> list[int]:
+    """Bits that keys of a kind do not hold, so that may differ among their fingerprints."""
+    halves, _ = ring(settings.distance)
+    sets = chosen_halves(settings.chain)
+    start, more = divmod(kind, len(sets))
+    held = {2 * start, 2 * start + 1, *[(2 * start + 2 + h) % len(halves) for h in sets[more]]}
+    return [s + i for h, (s, n) in enumerate(halves) if h not in held for i in range(n)]
+
+
+def flips(free: list[int], distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Changes of up to half the distance, rounded up; and which are of it rounded down."""
+    sets = [bits for n in range(distance - distance // 2 + 1) for bits in combinations(free, n)]
+    masks = np.array([sum(1 << b for b in bits) for bits in sets], dtype=np.uint64)
+    return masks, np.array([len(bits) <= distance // 2 for bits in sets])
+
 
-    Two fingerprints are within the distance exactly if some value lies within
-    half of it from both; ``free`` are the bits that the key does not hold. Work
-    grows with the number of fingerprints, not of their pairs. The shared values
-    are taken in passes by their low bits, so that few are held at a time.
+def midway_links(keyed: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b) of the fingerprints (key, _fp) that share a midway value.
+
+    A value has few fingerprints, as they differ from it in few bits. One that is
+    within the smaller half is linked to all others; these links are within the
+    distance, and any two within it meet at some value in this way.
     """
-    flips = [
-        np.uint64(sum(1 << b for b in bits))
-        for n in range(settings.distance // 2 + 1)
-        for bits in combinations(free, n)
-    ]
-    groups = Groups(len(values))
-    found_a, found_b = [], []
-    passes = max(1, len(values) * len(flips) // MIDDLES_AT_ONCE)
-    low = [1 << b for b in free[: min(passes.bit_length() - 1, len(free))]]
-    for pattern in range(1 << len(low)):
-        want = np.uint64(sum(b for i, b in enumerate(low) if pattern >> i & 1))
-        owners = [np.flatnonzero(((values ^ flip) & np.uint64(sum(low))) == want) for flip in flips]
-        middle = np.concatenate([values[own] ^ flip for own, flip in zip(owners, flips)])
-        owner = np.concatenate(owners)
-        order = np.argsort(middle, kind="stable")
-        middle, owner = middle[order], owner[order]
-        same = np.flatnonzero(middle[1:] == middle[:-1])
-        a, b = owner[same], owner[same + 1]
-        kept = groups.join(zip(a.tolist(), b.tolist()))
-        found_a.append(a[kept])
-        found_b.append(b[kept])
-    return values[np.concatenate(found_a)], values[np.concatenate(found_b)]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            values = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            for kind in np.unique(keys >> KIND_SHIFT).tolist():
+                if kind not in known:
+                    known[kind] = flips(free_bits(kind, settings), settings.distance)
+                masks, near = known[kind]
+                own = values[keys >> KIND_SHIFT == kind]
+                step = max(1, MIDDLES_AT_ONCE // len(masks))
+                for at in range(0, len(own), step):
+                    part = own[at : at + step]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array((part[:, None] ^ masks).ravel().view(np.int64)),
+                            pa.array(np.repeat(part, len(masks)).view(np.int64)),
+                            pa.array(np.tile(near, len(part))),
+                        ],
+                        names=["middle", "_fp", "near"],
+                    )
+
+    middles = keyed.mapInArrow(spread, "middle BIGINT, _fp BIGINT, near BOOLEAN")
+    return (
+        middles.groupBy("middle")
+        .agg(F.min(F.when(F.col("near"), F.col("_fp"))).alias("a"), F.collect_set("_fp").alias("all"))
+        .filter(F.col("a").isNotNull() & (F.size("all") > 1))
+        .select("a", F.explode("all").alias("b"))
+        .filter(F.col("a") != F.col("b"))
+    )
 
 
 def key_links(keys: np.ndarray, values: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Links within each run of equal keys; runs are whole and sorted by key."""
-    halves, _ = ring(settings.distance)
     sets = chosen_halves(settings.chain)
     edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
     begins, sizes = edges[:-1], np.diff(edges)
@@ -246,13 +273,7 @@ def key_links(keys: np.ndarray, values: np.ndarray, settings: Settings) -> tuple
         out_b.append(right[ok])
     for run in np.flatnonzero(sizes > 3):
         own = values[begins[run] : begins[run] + sizes[run]]
-        start, more = divmod(int(kinds[run]), len(sets))
-        if len(own) <= settings.crowded or settings.distance % 2:
-            a, b = pair_links(own, start, settings)
-        else:
-            held = {2 * start, 2 * start + 1, *[(2 * start + 2 + h) % len(halves) for h in sets[more]]}
-            free = [s + i for h, (s, n) in enumerate(halves) if h not in held for i in range(n)]
-            a, b = midway_links(own, free, settings)
+        a, b = pair_links(own, int(kinds[run]) // len(sets), settings)
         out_a.append(a)
         out_b.append(b)
     return np.concatenate(out_a), np.concatenate(out_b)
@@ -260,8 +281,11 @@ def key_links(keys: np.ndarray, values: np.ndarray, settings: Settings) -> tuple
 
 def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(a, b): links between distinct fingerprints ``_fp`` that connect all that
-    are within the distance of each other. A key's rows may be many but fit in
-    one task: they are fingerprints that differ only in the key's other bits."""
+    are within the distance of each other.
+
+    Crowded keys are written to the shared folder; there is one for ``crowded``
+    rows at most, and mostly none.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,8 +318,18 @@ def links(nodes: DataFrame, settings: Settings = Settings()) -> DataFrame:
             waiting.append((keys[last:], values[last:]))
         yield linked(waiting)
 
+    spark = nodes.sparkSession
+    folder = new_run_folder(spark, "crowded-keys")
     keyed = nodes.select("_fp").mapInArrow(spread, "key BIGINT, _fp BIGINT")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(link, "a BIGINT, b BIGINT")
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts.filter(F.col("n") > settings.crowded).select("key").write.parquet(folder)
+    crowded = spark.read.schema("key BIGINT").parquet(folder)
+    if crowded.isEmpty():
+        calm, busy = keyed, None
+    else:
+        calm, busy = keyed.join(crowded, "key", "left_anti"), keyed.join(crowded, "key", "left_semi")
+    found = calm.repartition("key").sortWithinPartitions("key").mapInArrow(link, "a BIGINT, b BIGINT")
+    return found if busy is None else found.unionByName(midway_links(busy, settings))
 
 
 # ---------------------------------------------------------------- operators
@@ -330,23 +364,52 @@ def simhash_components(docs: DataFrame, settings: Settings = Settings()) -> Data
     )
 
 
-def drop_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents, all columns: of each component the row of the least id.
+def judged_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(_k, _i, n, stays) of each distinct text and id, as hashes, with the number of its rows.
 
-    Where that id has several rows in the component, the one with the least
-    fingerprint, and of these the one whose text hashes least, stays.
+    Of each component the row of the least id stays, NULL last. Where that id has
+    several texts in the component, the one with the least fingerprint, and of these
+    the one that hashes least.
     """
-    least = (
-        _classes(with_fingerprints(docs, ["doc_id"], settings), settings)
-        .groupBy("_root")
-        .agg(F.min(F.struct(F.col("_first").isNull().alias("none"), F.col("_first").alias("id"), "_fp")).alias("w"))
-    )
-    fp = free_name(docs, "_fp")
-    rows = with_fingerprints(docs, docs.columns, settings, fp)
-    winners = least.select(F.col("w.id").alias("_winner"), F.col("w._fp").alias("_winner_fp"))
-    kept = rows.join(
-        winners, (rows[fp] == winners["_winner_fp"]) & rows["doc_id"].eqNullSafe(winners["_winner"]), "left_semi"
+    spark = docs.sparkSession
+    path = f"{new_run_folder(spark, 'fingerprints')}/rows"
+    keyed = docs.select("doc_id", "text", *[key.alias(name) for name, key in text_keys().items()])
+    rows = with_fingerprints(keyed, ["doc_id", *text_keys()], settings)
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "_fp", "_k", "_i")
+    texts = (
+        rows.join(_classes(rows, settings).select("_fp", "_root"), "_fp")
+        .groupBy("_root", "_k", "_i")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("_order"))
     )
-    place = free_name(docs, "_place")
-    same = Window.partitionBy(fp, "doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn(place, F.row_number().over(same)).filter(F.col(place) == 1).select(*docs.columns)
+    first = texts.groupBy("_root").agg(F.min("_order").alias("_first"))
+    stays = (F.col("_k") == F.col("_first._k")) & (F.col("_i") == F.col("_first._i"))
+    return texts.join(first, "_root").select("_k", "_i", "n", stays.alias("stays"))
+
+
+def text_keys() -> dict[str, Column]:
+    return {"_k": F.xxhash64("text"), "_i": F.xxhash64("doc_id")}
+
+
+def drop_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The documents, all columns: of each component one row, as ``judged_texts`` says.
+
+    What goes is a table of hashes. Texts meet it without being shuffled where it is
+    small enough to broadcast, and are shuffled once where it is not. Of rows of one
+    id and text that stays one is kept; only those are brought together.
+    """
+    spark = docs.sparkSession
+    folder = new_run_folder(spark, "near-copies")
+    judged_texts(docs, settings).write.parquet(f"{folder}/judged")
+    judged = spark.read.schema("_k BIGINT, _i BIGINT, n BIGINT, stays BOOLEAN").parquet(f"{folder}/judged")
+    names = {name: free_name(docs, name) for name in text_keys()}
+    keyed = docs.withColumns({names[name]: key for name, key in text_keys().items()})
+    tables = []
+    for kind, test in (("gone", ~F.col("stays") | (F.col("n") > 1)), ("repeated", F.col("stays") & (F.col("n") > 1))):
+        judged.filter(test).select(*[F.col(a).alias(b) for a, b in names.items()]).write.parquet(f"{folder}/{kind}")
+        tables.append(spark.read.schema(f"`{names['_k']}` BIGINT, `{names['_i']}` BIGINT").parquet(f"{folder}/{kind}"))
+    gone, repeated = tables
+    on = list(names.values())
+    single = keyed.join(gone, on, "left_anti")
+    return single.unionByName(keyed.join(repeated, on, "left_semi").dropDuplicates(on)).select(*docs.columns)
