@@ -4,7 +4,11 @@ A URL becomes a set of tokens: labels of the host, parts of the path with their
 numbers masked, and keys of the query. FP-growth finds token combinations that
 are frequent among labelled URLs; those that imply a bad label with enough
 support and confidence are rules, less those that say no more than a rule of
-fewer tokens. An inverted index leads from a rule's rarest token to the rule, so
+fewer tokens. Enough support is a share and a number of URLs; enough confidence is
+more than chance gives at the share of bad labels. Tokens that stand in the very
+same URLs, as the parts of a template do, are one item for mining, or each of their
+combinations would be a set of its own; a URL has the item if it has any of them.
+An inverted index leads from a rule's rarest token to the rule, so
 a URL meets only rules that it may fit, and each distinct URL is judged once.
 
 Tokens in nearly all URLs tell nothing and would double every combination; they
@@ -34,7 +38,9 @@ PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 @dataclass(frozen=True)
 class Settings:
     support: float = 0.002  # share of labelled URLs with the tokens and a bad label
+    least_urls: int = 20  # and at least so many of them, however few are labelled
     confidence: float = 0.5
+    sigmas: float = 4.0  # standard deviations of the confidence over the share of bad labels
     common: float = 0.9  # tokens in at least this share of URLs are left out
 
 
@@ -72,58 +78,102 @@ def stated_rule(url: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column,
     return rule, verdict
 
 
+def token_items(sets: DataFrame, settings: Settings, total: int) -> DataFrame:
+    """(token, item, count) of the telling tokens; tokens of the same URLs share an item.
+
+    That they stand in the same rows is read off the sums of two hashes of the rows.
+    """
+    seen = sets.select(F.explode("tokens").alias("token"), "row")
+    sums = [F.sum(F.xxhash64("row", F.lit(seed)).cast("decimal(38,0)")).alias(f"_{seed}") for seed in (1, 2)]
+    counts = seen.groupBy("token").agg(F.count(F.lit(1)).alias("count"), *sums)
+    least = max(settings.support * total, settings.least_urls)
+    telling = counts.filter((F.col("count") >= least) & (F.col("count") < settings.common * total))
+    alike = telling.groupBy("count", "_1", "_2").agg(F.min("token").alias("item"))
+    return telling.join(alike, ["count", "_1", "_2"]).select("token", "item", "count")
+
+
+RULES = "antecedent ARRAY<STRING>, members ARRAY<ARRAY<STRING>>, anchor STRING, confidence DOUBLE, support DOUBLE"
+
+
 def mine_rules(labelled: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(antecedent, anchor, confidence, support) from (url, bad).
+    """(antecedent, members, anchor, confidence, support) from (url, bad).
 
+    An antecedent is a list of items, and members are the tokens of each of them.
     Written to the shared folder, so that mining is done once.
     """
     spark = labelled.sparkSession
     folder = new_run_folder(spark, "url-rules")
     labelled.select(tokens_of(F.col("url")).alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad")).filter(
         F.size("tokens") > 0
-    ).write.parquet(f"{folder}/sets")
+    ).withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
-    total = sets.count()
-    counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    telling = counts.filter((F.col("count") >= settings.support * total) & (F.col("count") < settings.common * total))
-    schema = "antecedent ARRAY<STRING>, anchor STRING, confidence DOUBLE, support DOUBLE"
-    if total == 0 or telling.isEmpty():
-        return spark.createDataFrame([], schema)
-    # At most average tokens / support of them, so this is a short list.
-    names = F.array(*[F.lit(r["token"]) for r in telling.select("token").sort("token").collect()])
-    items = sets.select(
-        F.concat(F.array_intersect("tokens", names), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items")
+    total, bad = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("bad").cast("int")), F.lit(0))).first()
+    token_items(sets, settings, total).write.parquet(f"{folder}/items")
+    items = spark.read.schema("token STRING, item STRING, count BIGINT").parquet(f"{folder}/items")
+    if items.isEmpty():
+        return spark.createDataFrame([], RULES)
+    # At most average tokens / support of them, so this is a short table.
+    baskets = (
+        sets.select("row", "bad", F.explode("tokens").alias("token"))
+        .join(items, "token")
+        .groupBy("row", "bad")
+        .agg(F.collect_set("item").alias("own"))
+        .select(F.when(F.col("bad"), F.array_append("own", F.lit(BAD))).otherwise(F.col("own")).alias("items"))
+    )
+    least = min(1.0, max(settings.support, settings.least_urls / total))
+    # Rows without a telling token are not mined, but count in every share.
+    baskets = baskets.unionByName(
+        sets.join(sets.select("row", F.explode("tokens").alias("token")).join(items, "token"), "row", "left_anti").select(
+            F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")).alias("items")
+        )
     )
-    model = FPGrowth(itemsCol="items", minSupport=settings.support, minConfidence=settings.confidence).fit(items)
-    model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).select(
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=settings.confidence).fit(baskets)
+    base = bad / total
+    # The confidence of a rule over n URLs varies by sqrt(base * (1 - base) / n) by chance.
+    urls = F.col("support") * total / F.col("confidence")
+    sure = F.col("confidence") >= F.lit(base) + settings.sigmas * F.sqrt(base * (1 - base) / urls)
+    model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).filter(sure).select(
         F.array_sort("antecedent").alias("antecedent"), "confidence", "support"
     ).write.parquet(f"{folder}/mined")
     mined = spark.read.schema("antecedent ARRAY<STRING>, confidence DOUBLE, support DOUBLE").parquet(f"{folder}/mined")
-    # A rule is idle if one with a token less is as sure; so are those above it.
+    # A rule is idle if one with an item less is as sure; so are those above it.
     shorter = mined.select(
-        "antecedent", "confidence", F.explode("antecedent").alias("token")
+        "antecedent", "confidence", F.explode("antecedent").alias("item")
     ).select(
-        "antecedent", F.col("confidence").alias("own"), F.array_except("antecedent", F.array("token")).alias("less")
+        "antecedent", F.col("confidence").alias("own"), F.array_except("antecedent", F.array("item")).alias("less")
     )
-    base = mined.select(F.col("antecedent").alias("less"), F.col("confidence").alias("base"))
-    idle = shorter.join(base, "less").filter(F.col("base") >= F.col("own")).select("antecedent").distinct()
+    fewer = mined.select(F.col("antecedent").alias("less"), F.col("confidence").alias("base"))
+    idle = shorter.join(fewer, "less").filter(F.col("base") >= F.col("own")).select("antecedent").distinct()
     kept = mined.join(idle, "antecedent", "left_anti")
-    rarest = (
-        kept.select("antecedent", F.explode("antecedent").alias("token"))
-        .join(telling, "token")
+    tokens = items.groupBy("item").agg(F.array_sort(F.collect_list("token")).alias("tokens"), F.max("count").alias("count"))
+    parts = (
+        kept.select("antecedent", F.explode("antecedent").alias("item"))
+        .join(tokens, "item")
         .groupBy("antecedent")
-        .agg(F.min(F.struct("count", "token")).alias("t"))
-        .select("antecedent", F.col("t.token").alias("anchor"))
+        .agg(
+            F.min(F.struct("count", "item")).alias("t"),
+            F.array_sort(F.collect_list(F.struct("item", "tokens"))).alias("_parts"),
+        )
+        .select("antecedent", F.col("t.item").alias("anchor"), F.col("_parts.tokens").alias("members"))
     )
-    kept.join(rarest, "antecedent").select("antecedent", "anchor", "confidence", "support").write.parquet(f"{folder}/rules")
-    return spark.read.schema(schema).parquet(f"{folder}/rules")
+    columns = ["antecedent", "members", "anchor", "confidence", "support"]
+    kept.join(parts, "antecedent").select(*columns).write.parquet(f"{folder}/rules")
+    return spark.read.schema(RULES).parquet(f"{folder}/rules")
 
 
 def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, confidence, antecedent) of the surest rule for each distinct url that fits one."""
+    part = F.explode(F.arrays_zip(F.col("antecedent").alias("item"), F.col("members").alias("tokens"))).alias("p")
+    items = rules.select(part).select("p.item", F.explode("p.tokens").alias("token")).distinct()
     tokens = urls.select("url").filter(F.col("url").isNotNull()).distinct().withColumn("tokens", tokens_of(F.col("url")))
-    met = tokens.select("url", "tokens", F.explode("tokens").alias("anchor")).join(rules, "anchor")
-    fits = met.filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+    own = (
+        tokens.select("url", F.explode("tokens").alias("token"))
+        .join(items, "token")
+        .groupBy("url")
+        .agg(F.collect_set("item").alias("items"))
+    )
+    met = own.select("url", "items", F.explode("items").alias("anchor")).join(rules.drop("members"), "anchor")
+    fits = met.filter(F.size(F.array_except("antecedent", "items")) == 0)
     return (
         fits.groupBy("url")
         .agg(F.max(F.struct("confidence", F.array_join("antecedent", " ").alias("antecedent"))).alias("r"))
