@@ -12,7 +12,9 @@ in each range a loser tree merges the k pieces of runs, so the ranges one after
 the other are the whole capture history. Equal URL keys may fill many ranges, as
 time and id are part of the order; a range holds index rows, never payloads.
 
-Defined results: NULL html is an empty payload and NULL url an empty one; of
+Defined results: NULL html is an empty payload, NULL url an empty one and NULL time
+the start of 1970; an index carries ids as whole numbers or, of any other type, as
+text; of
 repeated rows of the least id all are responses; captures without id never stand
 for others while one with an id has the payload, and alone are responses.
 """
@@ -25,11 +27,13 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from folioflow.llm.batches import raw_texts, slices
 from folioflow.session import new_run_folder
@@ -38,10 +42,11 @@ VERSION = b"WARC/1.1\r\n"
 READ_BYTES = 1 << 20
 LEVEL = 4
 INDEX = (
-    "url_key STRING, captured_at STRING, page_id BIGINT, payload_bytes BIGINT, payload_digest STRING, "
-    "record_type STRING, refers_to BIGINT, archive STRING, offset BIGINT"
+    "url_key STRING, captured_at STRING, page_id {ids}, payload_bytes BIGINT, payload_digest STRING, "
+    "record_type STRING, refers_to {ids}, archive STRING, offset BIGINT"
 )
 NAMES = [part.split()[0] for part in INDEX.split(", ")]
+NO_TIME = "1970-01-01T00:00:00Z"
 
 
 # ---------------------------------------------------------------- records
@@ -63,10 +68,10 @@ def record(page_id, url: bytes, date: str, payload: bytes, digest: str, refers_t
         b"Content-Length: %d" % len(block),
     ]
     if page_id is not None:
-        head.append(b"X-Page-Id: %d" % page_id)
+        head.append(b"X-Page-Id: " + quote(str(page_id)).encode())
     if revisit:
         head.append(b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        head.append(b"X-Refers-To-Page-Id: %d" % refers_to)
+        head.append(b"X-Refers-To-Page-Id: " + quote(str(refers_to)).encode())
     return VERSION + b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -96,7 +101,7 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.lower().split("."))) + ")" + (rest or "/")
 
 
-def index_row(archive: str, offset: int, content: bytes) -> tuple:
+def index_row(archive: str, offset: int, content: bytes, read_id=int) -> tuple:
     head, _, block = content.partition(b"\r\n\r\n")
     fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
     http, _, payload = block[: int(fields[b"Content-Length"])].partition(b"\r\n\r\n")
@@ -107,10 +112,10 @@ def index_row(archive: str, offset: int, content: bytes) -> tuple:
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if digest != stated or size != len(payload):
             raise ValueError(f"the record at {offset} of {archive} does not hold the payload it states")
-    number = lambda name: int(fields[name]) if name in fields else None
+    page = lambda name: read_id(unquote(fields[name].decode())) if name in fields else None
     return (
         url_key(fields[b"WARC-Target-URI"].decode("utf-8", "replace")), fields[b"WARC-Date"].decode(),
-        number(b"X-Page-Id"), size, stated, fields[b"WARC-Type"].decode(), number(b"X-Refers-To-Page-Id"), archive, offset,
+        page(b"X-Page-Id"), size, stated, fields[b"WARC-Type"].decode(), page(b"X-Refers-To-Page-Id"), archive, offset,
     )
 
 
@@ -162,7 +167,7 @@ class LoserTree:
 
 def order_key(row: dict) -> tuple:
     page = row["page_id"]
-    return row["url_key"], row["captured_at"], page is not None, page or 0, row["archive"], row["offset"]
+    return row["url_key"], row["captured_at"], page is not None, page if page is not None else 0, row["archive"], row["offset"]
 
 
 # ---------------------------------------------------------------- jobs
@@ -172,13 +177,17 @@ def write_archives(captures: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(archive) of what was written from (page_id, url, html, captured_at).
 
     ``captured_at`` is text like 2024-01-01T00:00:00Z. Payloads of fewer than
-    ``least_bytes`` bytes are always responses.
+    ``least_bytes`` bytes are always responses. Whole numbers are compared as such
+    where the least id is looked for, ids of any other type as text.
     """
     spark = captures.sparkSession
     folder = new_run_folder(spark, "warc")
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = captures.select(
-        "page_id", F.coalesce("url", F.lit("")).cast("binary").alias("url"), "captured_at", payload.alias("payload")
+        F.col("page_id").cast(id_type(captures)).alias("page_id"),
+        F.coalesce("url", F.lit("")).cast("binary").alias("url"),
+        F.coalesce(F.col("captured_at").cast("string"), F.lit(NO_TIME)).alias("captured_at"),
+        payload.alias("payload"),
     ).withColumn("sha", F.unhex(F.sha1("payload")))
     first = rows.groupBy("sha").agg(F.min("page_id").alias("first"))
     again = (F.length("payload") >= least_bytes) & ~F.coalesce(F.col("page_id") == F.col("first"), F.col("first").isNull())
@@ -206,15 +215,26 @@ def write_archives(captures: DataFrame, least_bytes: int = 0) -> DataFrame:
     return spark.read.schema("archive STRING").parquet(f"{folder}/written").withColumn("folder", F.lit(folder))
 
 
-def capture_history(archives: DataFrame) -> DataFrame:
-    """Index rows of all records, in the order of URL key, time and id."""
+def id_type(captures: DataFrame) -> str:
+    """How ids of captures stand in their index."""
+    return "BIGINT" if isinstance(captures.schema["page_id"].dataType, IntegralType) else "STRING"
+
+
+def capture_history(archives: DataFrame, ids: str = "BIGINT") -> DataFrame:
+    """Index rows of all records, in the order of URL key, time and id.
+
+    ``ids`` is the ``id_type`` of what was written.
+    """
+    schema = INDEX.format(ids=ids)
+    read_id = int if ids == "BIGINT" else str
+    _batch = batch_maker(schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, folder in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 files, _ = pa.fs.FileSystem.from_uri(folder)
                 with files.open_input_stream(archive, compression=None) as stream:
-                    rows = [dict(zip(NAMES, index_row(archive, at, content))) for at, content in members(stream)]
+                    rows = [dict(zip(NAMES, index_row(archive, at, content, read_id))) for at, content in members(stream)]
                 yield _batch(sorted(rows, key=order_key))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,13 +254,18 @@ def capture_history(archives: DataFrame) -> DataFrame:
     # A task for each archive or so, whatever the few bytes of their names. The
     # runs are kept, as dealing them to ranges reads them twice.
     path = f"{new_run_folder(archives.sparkSession, 'capture-runs')}/runs"
-    archives.repartition(max(1, archives.count())).mapInArrow(read, INDEX).write.parquet(path)
-    runs = archives.sparkSession.read.schema(INDEX).parquet(path)
-    # Each run comes sorted out of its archive; a range gets a piece of each.
-    return runs.repartitionByRange(*order).sortWithinPartitions("archive", *order[:3], "offset").mapInArrow(merge, INDEX)
-
-
-def _batch(rows: list[dict]) -> pa.RecordBatch:
+    written = max(1, archives.count())
+    archives.repartition(written).mapInArrow(read, schema).write.parquet(path)
+    spark = archives.sparkSession
+    runs = spark.read.schema(schema).parquet(path)
+    # Each run comes sorted out of its archive; a range gets a piece of each. There
+    # are as many ranges as archives, so a range does not grow with the index.
+    ranges = max(written, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = runs.repartitionByRange(ranges, *order).sortWithinPartitions("archive", *order[:3], "offset")
+    return dealt.mapInArrow(merge, schema)
+
+
+def batch_maker(schema: str):
     kinds = {"BIGINT": pa.int64(), "STRING": pa.string()}
-    schema = pa.schema([(part.split()[0], kinds[part.split()[1]]) for part in INDEX.split(", ")])
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
+    arrow = pa.schema([(part.split()[0], kinds[part.split()[1]]) for part in schema.split(", ")])
+    return lambda rows: pa.RecordBatch.from_pylist(rows, schema=arrow)
