@@ -47,8 +47,9 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    marked = F.replace(role, F.lit("\\\\"), F.lit("\x00"))
-    return unescape(F.replace(F.replace(marked, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\")))
+    """Read from left to right: between two escaped backslashes only line ends are escaped."""
+    between = F.transform(F.split(role, r"\\\\"), lambda part: F.replace(part, F.lit("\\n"), F.lit("\n")))
+    return unescape(F.array_join(between, "\\"))
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
