@@ -2,20 +2,24 @@
 
 A kernel is made once per task by ``make()`` and is then called with a list of
 texts as UTF-8 bytes (NULL stays None). Batches are cut into slices, so that a
-task holds a bounded number of texts as Python objects at a time.
+task holds a bounded number and a bounded volume of texts as Python objects at a
+time; a text that is larger by itself is a slice of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 SLICE_ROWS = 512
+SLICE_BYTES = 8_000_000
 
 Kernel = Callable[[list[bytes | None]], object]
 
@@ -25,10 +29,25 @@ def raw_texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if large else pa.binary()).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of each row's texts."""
+    total = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type):
+            total += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return total
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(start, SLICE_ROWS)
+        ends = np.cumsum(row_bytes(batch))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            full = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+            stop = min(start + rows, max(start + 1, full))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def measure(

@@ -33,6 +33,7 @@ from folioflow.llm.batches import measure
 # Texts of these characters are normalised and split here; others by the library.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u024f\u2010-\u201f\u2026\u20ac]*")
 KNOWN_WORDS = 500_000
+KNOWN_CHARS = 64_000_000  # of words, their ids and their decoded texts
 KNOWN_PAIRS = 300_000
 
 # Byte-level vocabularies write a byte as a printable character: most of Latin-1
@@ -192,6 +193,7 @@ class Codec:
         steps = content["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.held = 0
         for content, number in self.specials.items():
             self.known[content] = (struct.pack("<I", number), content)
 
@@ -221,7 +223,8 @@ class Codec:
         gc.disable()  # a trie is many small dicts without cycles
         try:
             for coded, ids in self.trie.encode(as_bytes).items():
-                self.known[as_bytes[coded]] = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids))
+                self.known[as_bytes[coded]] = made = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids))
+                self.held += len(coded) + len(made[0]) + len(made[1])
         finally:
             gc.enable()
 
@@ -232,8 +235,9 @@ class Codec:
     def __call__(self, texts: list[bytes | None]) -> dict[str, list]:
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         cut = [self._words(t.decode("utf-8", "replace")) if t else [] for t in texts]
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS or self.held > KNOWN_CHARS:
             self.known = {c: self.known[c] for c in self.specials}
+            self.held = 0
         self._learn(set().union(*cut).difference(self.known))
         for words in cut:
             coded = [self.known[w] for w in words]
