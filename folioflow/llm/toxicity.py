@@ -39,6 +39,7 @@ PREFIXES = (0, 3, 4, 5, 6)  # 0: the whole word
 WIDTHS = {1: 12, 2: 4, 3: 4}  # filters by width
 PAD = 2  # zero rows after each text: windows from its words stay within it
 KNOWN_WORDS = 300_000
+KNOWN_CHARS = 32_000_000
 SEGMENT = 65_536
 BINS = 1_024  # of scores; a power of two, so that a bin's edge is exact
 
@@ -87,8 +88,10 @@ class Vocabulary(dict):
 
     def __init__(self) -> None:
         self.new: list[str] = []
+        self.held = 0
 
     def __missing__(self, word: str) -> int:
+        self.held += len(word)
         self[word] = place = len(self)
         self.new.append(word)
         return place
@@ -172,7 +175,7 @@ class Scorer:
         answers = responses(vectors, known, self.model)
         pooled = np.concatenate([np.maximum.reduceat(r, starts) for r in answers], axis=1)
         np.maximum.at(best, np.array(owners), pooled)
-        if len(self.vocabulary) > KNOWN_WORDS:
+        if len(self.vocabulary) > KNOWN_WORDS or self.vocabulary.held > KNOWN_CHARS:
             self.reset()
 
 
@@ -200,18 +203,35 @@ def usable_labels(labels: DataFrame) -> DataFrame:
     )
 
 
+def learnable(docs: DataFrame, labels: DataFrame, most_chars: int | None = None) -> DataFrame:
+    """(_id, _toxic) of the labelled, not held out ids whose text is there, and not too long."""
+    fits = F.col("text").isNotNull() if most_chars is None else F.length("text") <= most_chars
+    there = docs.filter(fits).select(F.col("doc_id").alias("_id"))
+    return usable_labels(labels).join(there, "_id", "left_semi")
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list:
     """(text, lang, toxic) of a bounded sample of labelled rows that are not held out.
 
-    The ids with the smallest hashes are taken, ``sample_docs`` of them, which
-    bounds what is broadcast and what comes back.
+    Of the labelled ids whose text is there, and not too long, those with the
+    smallest hashes are taken, ``sample_docs`` of them, which bounds what is
+    broadcast and what comes back. Where these are all of one class, half of them
+    make room for the first of the other.
     """
-    chosen = usable_labels(labels).orderBy(F.xxhash64("_id"), "_id").limit(settings.sample_docs)
+    ids = learnable(docs, labels, settings.sample_chars)
+    chosen = first_ids(ids, settings.sample_docs)
+    classes = {r["_toxic"] for r in chosen}
+    if len(classes) == 1:
+        others = first_ids(ids.filter(F.col("_toxic") != classes.pop()), max(1, settings.sample_docs // 2))
+        chosen = [*chosen[: max(1, settings.sample_docs - len(others))], *others]
+    if not chosen:
+        return []
+    kept = docs.sparkSession.createDataFrame(chosen, ids.schema)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     found = (
         docs.select(F.col("doc_id").alias("_id"), "text", lang.alias("_lang"))
         .filter(F.length("text") <= settings.sample_chars)
-        .join(F.broadcast(chosen), "_id")
+        .join(F.broadcast(kept), "_id")
         .groupBy("_id", "_toxic")
         .agg(F.min(F.struct("text", "_lang")).alias("_d"))
         .select("_id", "_toxic", F.col("_d.text").cast("binary").alias("text"), F.col("_d._lang").alias("lang"))
@@ -219,6 +239,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> l
     return sorted(found.collect(), key=lambda r: r["_id"])
 
 
+def first_ids(ids: DataFrame, n: int) -> list:
+    return ids.orderBy(F.xxhash64("_id"), "_id").limit(n).collect()
+
+
 def document_frequency_scores(
     places: list[np.ndarray], toxic: np.ndarray, pieces: np.ndarray, buckets: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -402,8 +426,17 @@ def thresholds(counts: list) -> dict[str | None, float]:
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Fit on a bounded sample of the labelled documents (doc_id, text, lang), and
-    set the thresholds by all labelled documents it has not learned from."""
+    set the thresholds by all labelled documents it has not learned from.
+
+    None where the labelled documents are not of both classes. Where they are, but
+    only by texts that are too long for the sample, nothing can be learned and it
+    raises: a filter that keeps everything must not go unseen.
+    """
     model = fit(training_sample(docs, labels, settings), settings)
+    if model is None:
+        classes = learnable(docs, labels).select("_toxic").distinct().count()
+        if classes > 1:
+            raise ValueError("labelled documents are of both classes, but not those short enough to learn from")
     if model is not None:
         model.thresholds = thresholds(score_counts(docs, labels, model, settings.least_positive).collect())
     return model
