@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from folioflow.llm.batches import keep, raw_texts, slices
@@ -43,6 +44,7 @@ _TABLE = bytes(
 )
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 KNOWN_WORDS = 300_000
+KEPT_BYTES = 100  # longer words are hashed each time
 
 
 @dataclass(frozen=True)
@@ -59,9 +61,11 @@ class Settings:
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -203,12 +207,12 @@ def contained_items(docs: DataFrame, items: DataFrame, settings: Settings = Sett
     out = None
     for block in item_blocks(items, settings):
         sent = docs.sparkSession.sparkContext.broadcast(block)
-        found = rows.mapInArrow(_search(sent, settings), schema)
+        found = rows.mapInArrow(_search(sent, settings, to_arrow_type(items.schema["item_id"].dataType)), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _search(sent, settings: Settings):
+def _search(sent, settings: Settings, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = ItemBlock([text for _, text in sent.value], settings)
         ids = [item for item, _ in sent.value]
@@ -219,7 +223,7 @@ def _search(sent, settings: Settings):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(owners),
-                    pa.array([ids[n] for n, _ in flat], pa.int64()),
+                    pa.array([ids[n] for n, _ in flat], kind),
                     pa.array([c for _, c in flat], pa.float64()),
                 ],
                 names=["doc_id", "item_id", "containment"],
