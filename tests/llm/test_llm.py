@@ -215,22 +215,34 @@ def test_ring_keys_miss_no_link(chain):
     assert found.all()
 
 
-def test_crowded_keys_give_the_same_groups():
-    halves, _ = simhash_ring.ring(4)
-    free = [s + i for h, (s, n) in enumerate(halves) if h not in (0, 1, 2, 4) for i in range(n)]
+def groups_of(spark, values, settings):
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    nodes = spark.createDataFrame([(signed(v),) for v in values], "_fp BIGINT")
+    found = simhash_ring.links(nodes, settings)
+    assert all(((r.a ^ r.b) % (1 << 64)).bit_count() <= settings.distance for r in found.collect())
+    root = {r.node: r.root for r in simhash_ring.components(found).collect()}
+    groups = {}
+    for v in values:
+        groups.setdefault(root.get(signed(v), signed(v)), set()).add(v)
+    return sorted(map(sorted, groups.values()))
+
+
+@pytest.mark.parametrize("distance", [4, 3])
+def test_crowded_keys_give_the_same_groups(spark, distance):
+    settings = simhash_ring.Settings(distance=distance, crowded=5)
+    free = simhash_ring.free_bits(0, settings)
     rng = random.Random(5)
     base = rng.getrandbits(64)
-    values = set()
+    values = set(neighbours(3, 4, 6, 6))
     for _ in range(120):
         value = base
         for bit in rng.sample(free, rng.randrange(7)):
             value ^= 1 << bit
         values.add(value)
-    array = np.array(sorted(values), dtype=np.uint64)
-    want = components_by_brute_force(values)
-    a, b = simhash_ring.midway_links(array, free, simhash_ring.Settings())
-    assert (np.bitwise_count(a ^ b) <= 4).all()
-    assert len(a) == len(values) - len(set(want.values()))
+    wanted = {}
+    for v, top in components_by_brute_force(values, distance).items():
+        wanted.setdefault(top, set()).add(v)
+    assert groups_of(spark, sorted(values), settings) == sorted(map(sorted, wanted.values()))
 
 
 def test_links_and_components(spark):

@@ -97,24 +97,29 @@ def test_phrases_of_no_rows(none):
     assert phrases.collocations(none).count() == 0
 
 
-def test_chunks_own_each_word_once_and_say_so_themselves(spark, monkeypatch):
-    settings = phrases.Settings(longest=5, least_count=1)
-    text = re.sub("[,.\n\t]", " ", prose(1, 3_000))
+@pytest.mark.parametrize("longest", [2, 5, 64])
+def test_chunks_own_each_word_once_and_say_so_themselves(spark, monkeypatch, longest):
+    settings = phrases.Settings(longest=longest, least_count=1)
+    text = prose(1, 3_000)
     frame = spark.createDataFrame([(text, "en")], "text STRING, lang STRING")
     everything = spark.sparkContext.broadcast(np.full(1 << 20, 2**64 - 1, dtype=np.uint64))
+    pieces = [p.split() for p in re.split("[,.\n]", text)]
     whole = Counter()
-    for at_once in (10_000, 23):
-        monkeypatch.setattr(phrases, "WORDS_AT_ONCE", at_once)
-        monkeypatch.setattr(phrases, "BLOCK", 7 * at_once)
+    for block, known in ((4_000_000, 400_000), (99, 400_000), (999, 12)):
+        monkeypatch.setattr(phrases, "BLOCK", block)
+        monkeypatch.setattr(phrases, "KNOWN", known)
         rows = phrases.named(phrases.parse(frame, everything, settings)).collect()
         owned = 0
         for row in rows:
-            words = row["text"].encode().split(b" ")
-            own = phrases.own_words(words, settings)
-            assert len(words) in (own, own + 1, own + 2)
+            foreign, *words = row["text"].encode().split(b" ")
+            own = len(words) - int(foreign)
+            # What a chunk owns follows from its words: up to a trigger, the most, or its end.
+            most = min(len(words), longest)
+            assert own == next((i for i in range(1, most) if phrases.is_trigger(words[i], settings.modulus)), most)
             owned += own * row["n"]
-        # A last chunk of one word holds no phrase, and is left out.
-        assert owned in (3_000, 2_999)
+        # Last chunks of one word hold no phrase, and are left out.
+        ones = sum(len(p) for p in pieces) - owned
+        assert 0 <= ones <= len(pieces)
         found = Counter({r["text"]: r["n"] for r in rows})
         assert not whole or found == whole
         whole = found
@@ -126,9 +131,9 @@ def test_a_filter_never_says_no_to_what_it_holds(spark):
     holds = phrases.Filter(slots.value, 18)
 
     def asked(pairs, lang="en"):
-        own = phrases.Hashes(lang)
-        flat = np.array([own[w.encode()] for text in pairs for w in text.split()], np.uint64)
-        return holds(phrases.part_hashes(flat, 2)[::2])
+        words = phrases.Words(lang)
+        numbers = words.numbers([w.encode() for text in pairs for w in text.split()])
+        return holds(phrases.part_hashes(words.hashes[numbers], 2)[::2])
 
     assert asked([text for _, text, _ in held]).all()
     assert asked([f"w{i} v{i % 7}" for i in range(5_000)], "de").mean() < 0.1
