@@ -20,19 +20,21 @@ each; a NULL id is carried; other columns are ignored; no rows give no pieces.
 
 from __future__ import annotations
 
-import gc
+import json
 import os
 import re
 import struct
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -41,22 +43,15 @@ from tokenizers import Tokenizer
 
 from folioflow.functions.ranking import position_in_group
 from folioflow.llm.batches import free_name, raw_texts, slices
-from folioflow.llm.bpe_trie import TO_BYTES
-from folioflow.llm.token_counts import PRETOKEN
+from folioflow.llm.bpe_trie import FROM_BYTES, TO_BYTES
 from folioflow.session import new_run_folder
 
 CAPACITY = 2_048
-KNOWN_BYTES = 90_000_000
-#: Kept per known pre-token besides its own bytes: a dict entry and two objects.
-ENTRY_BYTES = 150
-#: Behind letters, a run of these is one piece of the tokenizer's pattern.
-MARKS = ".,;:!?#$%&*"
-#: Letters beyond ASCII that are known to be such to the tokenizer's pattern.
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Characters of a text that are held as separate pre-tokens at a time.
-BLOCK = 1_000_000
-#: A blank behind a character that is none: no token is joined over such a place.
-CUT = re.compile(r"(?<=\S)[ \n]")
+#: Fixed value: the pieces that byte-level tokenizers cut a text into.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
+WINDOW = 500
+BYTE_LETTERS = {chr(TO_BYTES.get(b, b)) for b in range(256)}
 
 
 class Run(NamedTuple):
@@ -70,83 +65,56 @@ class Run(NamedTuple):
     offset: int
 
 
+def byte_ranks(content: dict) -> dict[bytes, int] | None:
+    """Ids of a byte-level vocabulary by their bytes, if its merges go by id; else None."""
+    vocabulary, merges = content["model"]["vocab"], content["model"]["merges"]
+    made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    if made != sorted(made):
+        return None
+    return {token.translate(FROM_BYTES).encode("latin-1"): i for token, i in vocabulary.items() if set(token) <= BYTE_LETTERS}
+
+
+def has_long_run(text: str) -> bool:
+    """Whether a text may hold a run of 1,000 characters without a blank, or of white space.
+
+    Such a run fills a whole window, so most texts are told by their windows.
+    """
+    windows = (text[i : i + WINDOW] for i in range(0, len(text) - WINDOW + 1, WINDOW))
+    return any(" " not in w or w.isspace() for w in windows) and bool(LONG_RUN.search(text))
+
+
 class Encoder:
-    """Ids of a text, as bytes; a distinct pre-token is encoded once while it is kept.
+    """Ids of a text, as bytes, as the tokenizers library gives them for a file.
 
-    In a pre-token of letters with a blank or line end before and marks behind, the
-    pieces of the tokenizer's pattern are plain to see. Each goes to the library's
-    merges directly, once while it is kept; any other pre-token goes through all of it.
+    Where the merges of the file go by id, a merger by ranks gives the same ids some
+    times faster. It gets the file's own vocabulary, and texts without very long runs,
+    which it is not made for; the library gets all others.
     """
 
     def __init__(self, path: str) -> None:
-        # Threads and caches of the library outlive a task; neither is of use here.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = Tokenizer.from_file(path)
-        self.library.model._resize_cache(0)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.merge = self.library.model.tokenize
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, bytes] = {"": b""}
-        self.held = 0
-
-    def piece(self, text: str) -> bytes:
-        """Ids of one piece, which are those of a pre-token of the same letters."""
-        found = self.known.get(text)
-        if found is None:
-            plain = text if text.isascii() else text.encode().decode("latin-1")
-            ids = [t.id for t in self.merge(plain.translate(TO_BYTES))]
-            found = self.known[text] = struct.pack(f"<{len(ids)}I", *ids)
-            self.held += len(text) + len(found) + ENTRY_BYTES
-        return found
-
-    def learn(self, words: Iterable[str]) -> None:
-        known, piece = self.known, self.piece
-        others = []
-        for word in words:
-            core = word.rstrip(MARKS)
-            white = core[:1] if core[:1] in (" ", "\n") else ""
-            letters = core[len(white) :]
-            if not letters.isalpha() or not (letters.isascii() or LATIN.fullmatch(letters)):
-                others.append(word)
-                continue
-            ids = piece(core) if white != "\n" else piece(white) + piece(letters)
-            if len(core) < len(word):
-                ids += piece(word[len(core) :])
-            known[word] = ids
-            self.held += ENTRY_BYTES
-        for start in range(0, len(others), 10_000):
-            part = others[start : start + 10_000]
-            for word, coded in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
-                self.held += 5 * len(word) + ENTRY_BYTES
-
-    def block(self, text: str) -> bytes:
-        words = PRETOKEN.findall(text)
-        new = set(words).difference(self.known)
-        if new:
-            if self.held > KNOWN_BYTES:
-                self.forget()
-                new = set(words)
-            gc.disable()  # what is made here has no cycles
-            try:
-                self.learn(new)
-            finally:
-                gc.enable()
-        return b"".join(map(self.known.__getitem__, words))
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        self.path, self.library = path, None
+        self.specials = {t["content"]: t["id"] for t in content["added_tokens"]}
+        ranks = byte_ranks(content) if content["pre_tokenizer"]["type"] == "ByteLevel" else None
+        for special in self.specials:
+            (ranks or {}).pop(special.encode(), None)
+        self.fast = ranks and tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.specials)
+
+    def slow(self, text: str) -> bytes:
+        if self.library is None:
+            # Threads and caches of the library outlive a task; neither is of use here.
+            self.library = Tokenizer.from_file(self.path)
+            self.library.model._resize_cache(0)
+            self.library.no_truncation()
+            self.library.no_padding()
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if len(text) <= BLOCK:
-            return self.block(text)
-        parts, start = [], 0
-        while start < len(text):
-            cut = CUT.search(text, start + BLOCK)
-            end = cut.start() if cut else len(text)
-            parts.append(self.block(text[start:end]))
-            start = end
-        return b"".join(parts)
+        if self.fast is None or has_long_run(text):
+            return self.slow(text)
+        return self.fast.encode_to_numpy(text, allowed_special=set(self.specials), disallowed_special=()).tobytes()
 
 
 def cut_lengths(total: int, capacity: int) -> list[int]:
