@@ -302,8 +302,7 @@ def test_long_runs_are_not_kept_without_bound():
         assert sum(map(len, counter.pieces)) <= 2_000_000
     finally:
         token_counts.KNOWN_CHARS = counter_bound
-    encoder = packing.Encoder(packing_path())
-    ids = encoder(runs[0][:50_000])
+    ids = packing.Encoder(packing_path())(runs[0][:50_000])
     assert len(ids) // 4 == counter([runs[0][:50_000].encode()])["n_tokens"][0]
     known = decontaminate.WordHashes()
     assert known[b"q" * 10_000] == xxhash.xxh64_intdigest(b"q" * 10_000) and not known
