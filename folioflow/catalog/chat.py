@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from folioflow.catalog import inputs
 from folioflow.catalog.registry import query
+from folioflow.functions import pii
 from folioflow.operators import limits, memory, route, screen, toolcalls
 from folioflow.session import new_run_folder
 from folioflow.streaming import streams
 
+_EMAIL, _PHONE = (next(r.pattern for r in pii.RULES if r.name == name) for name in ("email", "phone"))
+
 _LAST = """
 SELECT session_id, role, text, seq,
        (row_number() OVER (PARTITION BY session_id ORDER BY seq))::INT AS position
@@ -85,19 +88,32 @@ FROM u GROUP BY 1, 2
 """,
 )
 def fact_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return memory.fact_batches(inputs.turns(spark, folder), 2, seq_bucket=3)
+    return memory.fact_batches(inputs.turns(spark, folder), 2)
+
+
+_SAID = {
+    "My name is {a} Ka": "The user''s name is {a} Ka",
+    "My badge number is {n}": "The user''s badge number is {n}",
+    "My supervisor is {a} Lo": "The user''s supervisor is {a} Lo",
+    "I work in the {a} hall": "The user works in {a} hall",
+    "I prefer {a} and tea": "The user prefers {a} and tea",
+}
 
 
 @query(
     "extract_facts",
-    """
-SELECT conv_id AS actor_id, turn AS seq, 0 AS fact_no, 'The user''s badge number is ' || conv_id || '-' || turn AS text
-FROM conversations WHERE role = 'user'
-""",
+    "WITH t AS (SELECT conv_id, turn, 'Mr ' || translate(conv_id || 'x' || turn, '0123456789', 'abcdefghij') AS a, conv_id || '-' || turn AS n FROM conversations WHERE role = 'user')"
+    + " UNION ALL ".join(
+        f"\nSELECT conv_id AS actor_id, turn AS seq, 0 AS fact_no, replace(replace('{fact}', '{{a}}', a), '{{n}}', n) AS text FROM t WHERE (conv_id + turn) % 5 = {i}"
+        for i, fact in enumerate(_SAID.values())
+    ),
 )
 def extract_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every turn states a badge number; only users' become facts."""
-    said = F.concat_ws("", F.lit("My badge number is "), "actor_id", F.lit("-"), "seq", F.lit(". "), "text")
+    """Every turn says one of five things of its speaker; only users' become facts."""
+    number = F.concat_ws("-", "actor_id", "seq")
+    name = F.concat(F.lit("Mr "), F.translate(F.concat_ws("x", "actor_id", "seq"), "0123456789", "abcdefghij"))
+    kinds = [F.replace(F.replace(F.lit(said), F.lit("{a}"), name), F.lit("{n}"), number) for said in _SAID]
+    said = F.concat(F.element_at(F.array(*kinds), ((F.col("actor_id") + F.col("seq")) % 5).cast("int") + 1), F.lit(". "), "text")
     return memory.extract_facts(inputs.turns(spark, folder).withColumn("text", said))
 
 
@@ -147,23 +163,82 @@ def stream_last_k(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_AREAS = {
-    "purchase": ["operations"],
-    "click": ["safety"],
-    "view": ["hr", "safety"],
-    "error": ["operations"],
-    "signup": ["web"],
-}
+@query(
+    "stream_turns",
+    """
+WITH t AS (SELECT *, TIMESTAMP '2024-01-01' + to_hours(3 * conv_id) + to_minutes(turn) AS ts FROM conversations WHERE coalesce(text, '') <> '')
+SELECT conv_id AS session_id, turn AS seq, role, text FROM t WHERE ts > (SELECT max(ts) FROM t) - INTERVAL 7 DAYS
+""",
+)
+def stream_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns that are appended and have not expired, after all have arrived in any order."""
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    turns = inputs.turns(spark, folder).select(
+        "session_id", "seq", "role", "text",
+        (start + F.make_dt_interval(F.lit(0), (3 * F.col("session_id")).cast("int"), F.col("seq").cast("int"))).alias("ts"),
+    )
+    out, state = new_run_folder(spark, "turns"), new_run_folder(spark, "state")
+    waves = [turns.filter(F.pmod(F.xxhash64("session_id", "seq"), F.lit(3)) == n) for n in range(3)]
+    streams.in_waves(
+        waves,
+        lambda arriving: streams.run_available(
+            streams.turn_events(arriving), state, lambda rows, _: rows.write.mode("append").parquet(out), timers=True
+        ),
+    )
+    live = streams.live_turns(spark.read.schema(streams.TURN_EVENTS).parquet(out))
+    return live.withColumn("session_id", F.col("session_id").cast("bigint"))
+
+
+_WORD_ROWS = ", ".join(f"('{w}', '{a}', {n})" for w, a, n in route.ROUTE_WORDS)
+_HITS = route.ROUTE_PRECEDENCE[0][0]
 
 
 @query(
     "route_requests",
-    "SELECT event_id AS msg_id, unnest(CASE event_type "
-    + " ".join(f"WHEN '{t}' THEN {a}" for t, a in _AREAS.items())
-    + " END) AS route FROM events",
+    rf"""
+WITH rule(word, area, weight) AS (VALUES {_WORD_ROWS}),
+numbered AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS i FROM (SELECT DISTINCT word FROM rule)),
+asked(i, more) AS (VALUES (0, 'send a jabber to Ka'), (1, 'wear protective equipment'), (2, ''), (3, 'which ppe for the schedule'), (4, 'open a new ticket')),
+message AS (
+  SELECT doc_id AS msg_id, lower(text || ' ' || a.word || ' ' || b.word || ' ' || more) AS low
+  FROM documents
+  JOIN numbered a ON a.i = doc_id % (SELECT count(*) FROM numbered)
+  JOIN numbered b ON b.i = doc_id * 7 % (SELECT count(*) FROM numbered)
+  JOIN asked ON asked.i = CASE WHEN doc_id % 3 = 0 THEN doc_id // 3 % 5 ELSE 2 END),
+token AS (SELECT msg_id, unnest(list_distinct(regexp_extract_all(low, '\p{{L}}+'))) AS word FROM message),
+scored AS (SELECT msg_id, area, sum(weight)::INT AS score FROM token JOIN rule USING (word) GROUP BY ALL),
+every AS (
+  SELECT msg_id, low, area, coalesce(score, 0) AS score FROM message CROSS JOIN (SELECT DISTINCT area FROM rule)
+  LEFT JOIN scored USING (msg_id, area)),
+judged AS (
+  SELECT *, regexp_matches(low, '{_HITS}', 's') AS acts, regexp_matches(low, '\bppe\b|protective equipment') AS protective FROM every),
+taken AS (
+  SELECT msg_id, area AS route, score, acts, CASE
+    WHEN acts THEN area = 'operations' WHEN area = 'safety' THEN score >= 2 OR protective
+    WHEN area = 'operations' THEN score >= 2 AND NOT protective ELSE score >= 2 END AS yes
+  FROM judged)
+SELECT msg_id, route, score FROM taken WHERE yes
+UNION ALL
+SELECT msg_id, 'web', 0 FROM taken GROUP BY msg_id HAVING NOT bool_or(yes)
+""",
 )
 def route_requests(spark: SparkSession, folder: str) -> DataFrame:
-    return route.route_requests(inputs.messages(spark, folder)).select("msg_id", "route")
+    """Documents that end with two words of the rules, and some with a request."""
+    words = sorted({w for w, _, _ in route.ROUTE_WORDS})
+    more = ["send a jabber to Ka", "wear protective equipment", "", "which ppe for the schedule", "open a new ticket"]
+    key = F.col("doc_key")
+    pick = lambda listed, at: F.element_at(F.array(*[F.lit(x) for x in listed]), at.cast("int") + 1)
+    asked = inputs.documents(spark, folder).select(
+        key.alias("msg_id"),
+        F.concat_ws(
+            " ",
+            F.col("text"),
+            pick(words, key % len(words)),
+            pick(words, key * 7 % len(words)),
+            F.when(key % 3 == 0, pick(more, F.floor(key / 3) % 5)).otherwise(""),
+        ).alias("text"),
+    )
+    return route.route_requests(asked).select("msg_id", "route", "score")
 
 
 @query(
@@ -185,43 +260,66 @@ def split_greetings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_PHRASES = [(c.category, p, c.on_input, c.on_output) for c in screen.SCREENS for p in c.phrases]
+_RULE_ROWS = ", ".join(f"({i}, '{c}', '{p}', {str(a).lower()}, {str(b).lower()})" for i, (c, p, a, b) in enumerate(_PHRASES))
+_SCREENED = rf"""
+WITH planted(i, category, phrase, on_input, on_output) AS (VALUES {_RULE_ROWS}),
+rule AS (
+  SELECT category, ' ' || array_to_string(regexp_extract_all(lower(phrase), '[\p{{L}}\p{{N}}]+'), ' ') AS phrase, on_input, on_output FROM planted
+  UNION ALL
+  SELECT 'ITEM', ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+')[1:4], ' '), true, item_id % 2 = 0 FROM benchmark),
+said AS (
+  SELECT doc_id AS msg_id, CASE WHEN doc_id % 4 = 0 THEN 'Ka. ' || upper(phrase) || 's; ' || text ELSE text END AS text
+  FROM documents JOIN planted ON i = doc_id // 4 % {len(_PHRASES)}
+  UNION ALL
+  SELECT -1 - conv_id * 1000 - turn, text FROM conversations),
+norm AS (SELECT msg_id, text, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+'), ' ') || ' ' AS words FROM said),
+met AS (SELECT msg_id, list_sort(list_distinct(list(category))) AS c FROM norm JOIN rule ON contains(words, phrase) AND {{side}} GROUP BY msg_id)
+"""
+
+
+def _screening(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Messages, a fourth of the documents with a phrase in other letters, and rules:
+    those of the library, and the first words of each benchmark item."""
+    items = inputs.questions(spark, folder).select(
+        F.lit("ITEM").alias("category"),
+        F.array_join(F.slice(F.regexp_extract_all("text", F.lit(screen.WORD), F.lit(0)), 1, 4), " ").alias("phrase"),
+        F.lit(True).alias("on_input"),
+        (F.col("id") % 2 == 0).alias("on_output"),
+    )
+    phrase = F.element_at(F.array(*[F.lit(p) for _, p, _, _ in _PHRASES]), (F.floor(F.col("doc_key") / 4) % len(_PHRASES)).cast("int") + 1)
+    planted = F.concat(F.lit("Ka. "), F.upper(phrase), F.lit("s; "), F.col("text"))
+    said = inputs.documents(spark, folder).select(
+        F.col("doc_key").alias("msg_id"), F.when(F.col("doc_key") % 4 == 0, planted).otherwise(F.col("text")).alias("text")
+    )
+    turns = inputs.turns(spark, folder).select((-1 - F.col("session_id") * 1000 - F.col("seq")).alias("msg_id"), "text")
+    return said.unionByName(turns), screen.rule_table(spark).unionByName(items)
+
+
 @query(
     "screen_input",
-    """
-SELECT event_id AS msg_id, event_type = 'click' AS blocked,
-       CASE WHEN event_type = 'click' THEN 'Sorry, I can''t help with that request.' ELSE event_type || ' ' || props END AS text
-FROM events
-""",
+    _SCREENED.replace("{side}", "on_input")
+    + """SELECT msg_id, coalesce(array_to_string(c, ','), '') AS categories, c IS NOT NULL AS blocked,
+       CASE WHEN c IS NULL THEN text ELSE 'Sorry, I can''t help with that request.' END AS text
+FROM norm LEFT JOIN met USING (msg_id)""",
 )
 def screen_input(spark: SparkSession, folder: str) -> DataFrame:
-    """Clicks ask for drawings; the rest asks for nothing."""
-    lead = F.when(F.col("event_type") == "click", F.lit("The Technical Drawings of")).otherwise(F.col("event_type"))
-    asked = inputs.events(spark, folder).select(
-        F.col("event_id").alias("msg_id"), F.concat_ws(" ", lead, "props").alias("text")
-    )
-    return screen.screen_input(asked).select("msg_id", "blocked", "text")
+    said, rules = _screening(spark, folder)
+    return screen.screen_input(said, rules).select("msg_id", F.array_join("categories", ",").alias("categories"), "blocked", "text")
 
 
 @query(
     "screen_output",
-    """
-SELECT event_id AS msg_id, event_type = 'click' AS blocked,
-       CASE WHEN event_type = 'click' THEN 'Sorry, I can''t provide that response.'
-            ELSE 'Write {EMAIL} or {PHONE}, SSN {US_SOCIAL_SECURITY_NUMBER}; ' || props END AS text
-FROM events
-""",
+    _SCREENED.replace("{side}", "on_output")
+    + rf"""SELECT msg_id, c IS NOT NULL AS blocked, CASE WHEN c IS NOT NULL THEN 'Sorry, I can''t provide that response.' ELSE
+       regexp_replace(regexp_replace(regexp_replace(text, '{pii.SSN_DELIMITED[0]}', '{{US_SOCIAL_SECURITY_NUMBER}}', 'g'),
+         '{_PHONE}', '{{PHONE}}', 'g'), '{_EMAIL}', '{{EMAIL}}', 'g') END AS text
+FROM norm LEFT JOIN met USING (msg_id)""",
 )
 def screen_output(spark: SparkSession, folder: str) -> DataFrame:
-    user = F.col("user_id").cast("string")
-    said = F.concat(
-        F.lit("Write u"), user, F.lit("@mail.example.com or (555) 555-01"), F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"),
-        F.lit(", SSN 123-45-"), F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0"), F.lit("; "), F.col("props"),
-    )
-    replies = inputs.events(spark, folder).select(
-        F.col("event_id").alias("msg_id"),
-        F.when(F.col("event_type") == "click", F.concat(said, F.lit(" subhuman"))).otherwise(said).alias("text"),
-    )
-    return screen.screen_output(replies).select("msg_id", "blocked", "text")
+    """The texts hold e-mails and telephone numbers of their own."""
+    said, rules = _screening(spark, folder)
+    return screen.screen_output(said, rules).select("msg_id", "blocked", "text")
 
 
 @query(
@@ -383,6 +481,43 @@ def rate_limit(spark: SparkSession, folder: str) -> DataFrame:
     return limits.rate_limit(requests, 2, 60).select("key", "event_id", "in_window")
 
 
+@query(
+    "rate_limit_stream",
+    """
+WITH kept AS (SELECT user_id AS key, ts FROM events WHERE NOT (event_id % 10 = 7 AND ts < TIMESTAMP '2024-01-10')),
+opened AS (SELECT key, unnest([floor(epoch(ts) / 900)::BIGINT * 900 - 900 * k FOR k IN range(4)]) AS s FROM kept)
+SELECT key, make_timestamp(s * 1000000) AS window_start, make_timestamp((s + 3600) * 1000000) AS window_end, count(*) AS requests
+FROM opened GROUP BY key, s HAVING count(*) > 2
+""",
+)
+def rate_limit_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of an hour. Requests arrive in three waves, a day late at most counts:
+    some of the last day before the second wave come with it and count, some of before
+    the tenth come with the third, when their windows have closed, and do not."""
+    requests = inputs.events(spark, folder).select(F.col("user_id").alias("key"), "ts", "event_id")
+    at = lambda day: F.lit(f"2024-01-{day} 00:00:00").cast("timestamp")
+    ts, digit = F.col("ts"), F.col("event_id") % 10
+    wave = (
+        F.when((digit == 7) & (ts < at("10")), 2)
+        .when((digit == 3) & ts.between(at("14"), at("15")), 1)
+        .when(ts < at("15"), 0)
+        .when(ts < at("22"), 1)
+        .otherwise(2)
+    )
+    out, state = new_run_folder(spark, "alerts"), new_run_folder(spark, "state")
+    streams.in_waves(
+        [requests.filter(wave == n) for n in range(3)],
+        lambda arriving: streams.run_available(
+            streams.rate_limit_stream(arriving, 2, 60, "15 minutes", "1 day"),
+            state,
+            lambda rows, _: rows.write.mode("append").parquet(out),
+            "update",
+        ),
+    )
+    naive = lambda name: F.col(name).cast("timestamp_ntz").alias(name)
+    return streams.newest_alerts(spark.read.parquet(out)).select("key", naive("window_start"), naive("window_end"), "requests")
+
+
 @query(
     "budget_alerts",
     """

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow import schemas
 from folioflow.catalog import inputs
 from folioflow.catalog.registry import query
 from folioflow.functions import pii
 from folioflow.functions.pii import RedactionSettings, Rule
 from folioflow.operators import cache, classify, extract, failures, limits, redact, route
+from folioflow.plans import ingest
 from folioflow.session import new_run_folder
 from folioflow.sources import files as file_source
 from folioflow.sources import sinks
+from folioflow.streaming import streams
 
 # --- SQL pieces -----------------------------------------------------------------
 
@@ -34,6 +39,8 @@ def pattern_of(name: str) -> str:
     return next(r.pattern for r in pii.RULES if r.name == name)
 
 
+# Queries whose SQL knows no names leave them alone.
+RULES_ONLY = RedactionSettings(entities=tuple(e for e in pii.DEFAULT_ENTITIES if e != "PERSON"))
 EMAIL, PHONE = pattern_of("email"), pattern_of("phone")
 CARD = pii.CARD_PATTERN
 
@@ -83,13 +90,29 @@ def spans_sql(name: str, pattern: str, source: str = "documents", key: str = "do
 # --- Sources --------------------------------------------------------------------
 
 
-@query("read_files")
+@query(
+    "read_files",
+    """
+SELECT way, 'doc_' || doc_id || '.txt' AS filename, strlen(coalesce(text, '')) AS size, sha256(coalesce(text, '')) AS digest
+FROM documents, (VALUES ('batch'), ('stream')) v(way) WHERE way = 'batch' OR coalesce(text, '') <> ''
+""",
+)
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The tables' own files as uploads: names, sizes, and what their bytes are."""
-    found = file_source.read_files(spark, folder)
-    return found.select(
-        "filename", "size", F.sha2("content", 256).alias("digest"), classify.looks_like_text(F.col("content")).alias("is_text")
+    """Every document as a file of its own, read both ways; the stream runs twice,
+    and the second time there is nothing new for it. Empty files do not arrive."""
+    uploads = new_run_folder(spark, "uploads")
+    named = inputs.documents(spark, folder).select(
+        F.concat(F.lit("doc_"), F.col("doc_key").cast("string"), F.lit(".txt")).alias("filename"),
+        F.col("text").cast("binary").alias("content"),
     )
+    file_source.write_files(named, uploads).write.parquet(new_run_folder(spark, "uploaded"))
+    told = [F.col("filename"), F.col("size"), F.sha2("content", 256).alias("digest")]
+    arrived, state = new_run_folder(spark, "arrived"), new_run_folder(spark, "state")
+    for _ in range(2):
+        arriving = file_source.read_files(spark, uploads, stream=True).filter("size > 0").select(*told)
+        streams.run_available(arriving, state, lambda rows, _: rows.write.mode("append").parquet(arrived))
+    at_once = file_source.read_files(spark, uploads).select(F.lit("batch").alias("way"), *told)
+    return at_once.unionByName(spark.read.parquet(arrived).withColumn("way", F.lit("stream")))
 
 
 @query(
@@ -449,18 +472,42 @@ FROM redacted WHERE modality IS NOT NULL
 """,
 )
 def publish_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Redacted, gated, published twice; the second time adds nothing."""
+    """Redacted, staged, checked and published; a second time, which adds nothing."""
     classified, _ = classify.classify_files(inputs.files(spark, folder).drop("content"))
     texts = inputs.documents(spark, folder).select("doc_key", "text")
-    documents = redact.redaction_gate(redact.redact_text(classified.join(texts, "doc_key"))).withColumn(
-        "extractor", F.lit("bda")
-    )
-    path = new_run_folder(spark, "published")
-    sinks.publish_documents(documents, path)
-    sinks.publish_documents(documents, path)
-    return spark.read.schema(sinks.PUBLISHED).parquet(path).select(
-        "doc_key", "text", "source_filename", "source_modality"
-    )
+    redacted_files = redact.redact_text(classified.join(texts, "doc_key"), RULES_ONLY)
+    documents = redact.redaction_gate(redacted_files, RULES_ONLY).withColumn("extractor", F.lit("bda"))
+    path, check = new_run_folder(spark, "published"), redact.check_staged(RULES_ONLY)
+    sinks.publish_documents(documents, path, "first", check)
+    sinks.publish_documents(documents, path, "second", check)
+    return sinks.read_published(spark, path).select("doc_key", "text", "source_filename", "source_modality")
+
+
+@query(
+    "publish_stream",
+    f"""
+WITH {CLASSIFIED}, {redacted('classified')}
+SELECT sha256(filename || chr(0) || text) AS doc_key, text, filename AS source_filename,
+       modality AS source_modality
+FROM redacted WHERE modality IS NOT NULL
+""",
+)
+def publish_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as documents arrive, in three waves; each batch is handed in twice."""
+    classified, _ = classify.classify_files(inputs.files(spark, folder).drop("content"))
+    texts = inputs.documents(spark, folder).select("doc_key", "text")
+    files = classified.join(texts, "doc_key").select("doc_key", "filename", "modality", "text")
+    path, state = new_run_folder(spark, "published"), new_run_folder(spark, "state")
+    publish = sinks.publish_each(path, "uploads", redact.check_staged(RULES_ONLY))
+
+    def twice(rows: DataFrame, number: int) -> None:
+        done = redact.redact_text(rows, RULES_ONLY).withColumn("extractor", F.lit("bda"))
+        publish(done, number)
+        publish(done, number)
+
+    waves = [files.filter(F.pmod("doc_key", F.lit(3)) == n) for n in range(3)]
+    streams.in_waves(waves, lambda arriving: streams.run_available(arriving, state, twice))
+    return sinks.read_published(spark, path).select("doc_key", "text", "source_filename", "source_modality")
 
 
 # --- Redaction ------------------------------------------------------------------------
@@ -579,6 +626,27 @@ def redact_person_names(spark: SparkSession, folder: str) -> DataFrame:
     return redact.redact_person_names(inputs.documents(spark, folder), names)
 
 
+_TWO_CAPITALS = r"\b[A-Z][a-z]+ [A-Z][a-z]+\b"
+
+
+def _capitals():
+    """A finder: two words with capitals side by side."""
+    pattern = re.compile(_TWO_CAPITALS, re.ASCII)
+    return lambda texts: [[(*m.span(), 0.6) for m in pattern.finditer(t)] for t in texts]
+
+
+@query(
+    "found_person_names",
+    f"""
+WITH {spans_sql('t', _TWO_CAPITALS)}
+SELECT doc_key, 'PERSON' AS entity, start, stop, 0.6::DOUBLE AS score FROM t
+""",
+)
+def found_person_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names by a finder of the caller's, over all documents."""
+    return redact.redact_person_names(inputs.documents(spark, folder), finder=_capitals)
+
+
 @query(
     "redaction_audit",
     f"""
@@ -606,7 +674,53 @@ SELECT doc_id AS doc_key, text FROM redacted
 """,
 )
 def redaction_gate(spark: SparkSession, folder: str) -> DataFrame:
-    return redact.redaction_gate(redact.redact_text(inputs.documents(spark, folder))).select("doc_key", "text")
+    done = redact.redact_text(inputs.documents(spark, folder), RULES_ONLY)
+    return redact.redaction_gate(done, RULES_ONLY).select("doc_key", "text")
+
+
+# --- The whole upload --------------------------------------------------------------------
+
+
+_UPLOADED = f"""
+WITH {CLASSIFIED}, kinds AS (SELECT * EXCLUDE (modality), coalesce(modality, 'text') AS modality FROM classified),
+{redacted('kinds')},
+names AS (SELECT list(DISTINCT lower(w)) AS l FROM (SELECT unnest(regexp_extract_all(text, '[\\p{{L}}]{{9,}}')) AS w FROM benchmark)),
+cut AS (
+  SELECT *, regexp_extract_all(text, '{_NAME_TOKEN}') AS found, regexp_split_to_array(text, '{_NAME_TOKEN}') AS pieces FROM redacted),
+told AS (
+  SELECT doc_id, filename, modality, raw, min(doc_id) OVER (PARTITION BY raw) AS first,
+    array_to_string(list_transform(list_zip(pieces, found), lambda z:
+      z[1] || CASE WHEN z[2] IS NULL THEN '' WHEN list_contains(l, lower(z[2])) THEN '[PERSON]' ELSE z[2] END), '') AS text
+  FROM cut, names),
+read AS (SELECT * FROM told WHERE modality = 'text' OR first % 13 <> 0)
+SELECT DISTINCT sha256(filename || chr(0) || text) AS doc_key, text, filename AS source_filename, modality AS source_modality,
+  CASE modality WHEN 'text' THEN 'plaintext' WHEN 'spreadsheet' THEN 'spreadsheet' WHEN 'image' THEN 'vision' ELSE 'bda' END AS extractor,
+  0 AS extracted_again, (SELECT count(*) FROM told) - (SELECT count(*) FROM read) AS files_without_result
+FROM read WHERE regexp_matches(text, '\\S')
+"""
+
+
+@query("ingest_job", _UPLOADED)
+def ingest_job(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as uploads, twice: the second run extracts nothing and publishes
+    nothing. Some keys have no extraction result; their files are told of."""
+    files = inputs.files(spark, folder).drop("lang")
+    keyed = cache.cache_keys(files.select("doc_key", "content"))
+    made = keyed.groupBy("cache_key").agg(F.min("doc_key").alias("first"), F.min(F.col("content").cast("string")).alias("text"))
+    extracted = made.filter(F.col("first") % 13 != 0).select("cache_key", "text")
+    names = inputs.questions(spark, folder).select(
+        F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}]{9,}"), F.lit(0))).alias("name")
+    )
+    stored, published = new_run_folder(spark, "cache"), new_run_folder(spark, "published")
+    told, again = [], 0
+    for batch in ("first", "second"):
+        run = ingest.ingest_files(files.drop("doc_key"), extracted, sinks.read_or_empty(spark, stored, schemas.CACHE), names=names)
+        again = run.extracted.count()
+        told.append(ingest.store(run, stored, published, batch).filter(F.col("reason").endswith(ingest.NO_RESULT)).count())
+    return sinks.read_published(spark, published).select(
+        "doc_key", "text", "source_filename", "source_modality", "extractor",
+        F.lit(again).alias("extracted_again"), F.lit(told[0]).alias("files_without_result"),
+    )
 
 
 # --- Summaries and costs ----------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +85,7 @@ FROM benchmark LEFT JOIN found ON item_id = query_id""",
 )
 def render_passages(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship: redact, chunk, hash, rank, and put the passages together."""
-    corpus = corpus_chunks(inputs.documents(spark, folder))
+    corpus = passages.kept(corpus_chunks(inputs.documents(spark, folder)).select("chunk_id", "text"), "corpus")
     asked = chunks.hash_vectors(inputs.questions(spark, folder), "id")
     ranked = search.search_hashed(asked, chunks.hash_vectors(corpus, "chunk_id"))
     return passages.render_passages(asked, ranked, corpus, NOT_FOUND)
@@ -125,12 +127,51 @@ def search_vectors_lsh(spark: SparkSession, folder: str) -> DataFrame:
     return passages.search_vectors_lsh(*_centres(spark, folder))
 
 
+@query(
+    "lsh_recall",
+    "SELECT true AS finds_nine_tenths, true AS scores_under_half, count(*) AS queries FROM embeddings WHERE vec_id % 50 = 0",
+)
+def lsh_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Recall at 5, and the share of pairs that are scored, where rows have neighbours:
+    each queried vector has six near copies among all vectors."""
+    vectors = inputs.table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector")
+    )
+    asked = vectors.filter(F.col("id") % 50 == 0)
+    moved = F.transform("vector", lambda v, i: v * (1 + ((i * 7 + F.col("copy") * 3 + F.col("id")) % 5 - 2) * 0.05))
+    copies = asked.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(6)))).select(
+        (-1 - F.col("id") * 10 - F.col("copy")).alias("id"), moved.alias("vector")
+    )
+    rows = passages.kept(vectors.unionByName(copies), "rows")
+    near = passages.search_vectors_lsh(asked, rows, bands=24, bits=12)
+    found = passages.recall(near, search.search_vectors(asked, rows))
+    scored = passages.candidates(asked, rows, 24, 12).agg(F.count(F.lit(1)).alias("pairs"))
+    every = asked.agg(F.count(F.lit(1)).alias("queries")).join(rows.agg(F.count(F.lit(1)).alias("rows")))
+    return found.select("recall").join(scored).join(every).select(
+        (F.col("recall") >= 0.9).alias("finds_nine_tenths"),
+        (2 * F.col("pairs") < F.col("queries") * F.col("rows")).alias("scores_under_half"),
+        "queries",
+    )
+
+
+_NAMED = ", ".join(
+    f"{{'n': '{n}', 'c': chr({c})}}" for n, c in [*html.entities.name2codepoint.items(), ("apos", 39)]
+)
+
+
+def _entity_sql(entity: str) -> str:
+    code = f"""(CASE WHEN regexp_matches({entity}, '^&#[xX]') THEN ('0x' || regexp_extract({entity}, '[xX]([0-9a-fA-F]+)', 1))::BIGINT
+      ELSE regexp_extract({entity}, '#([0-9]+)', 1)::BIGINT END)"""
+    return f"""CASE WHEN {entity} LIKE '&#%' THEN
+      CASE WHEN {code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343 THEN chr({code}::INT) ELSE {entity} END
+      ELSE coalesce((SELECT any_value(c) FROM named WHERE n = regexp_extract({entity}, '^&(.*);$', 1)), {entity}) END"""
+
+
 def _tidy_sql(text: str) -> str:
-    for entity, character in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
-        ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-    ):
-        text = f"replace({text}, '{entity}', '{character}')"
+    """Entities are told apart once in a table of their own, then put between the pieces."""
+    pieces = f"regexp_split_to_array({text}, '{passages.ENTITY}')"
+    found = f"regexp_extract_all({text}, '{passages.ENTITY}')"
+    text = f"""array_to_string(list_transform(list_zip({pieces}, {found}), lambda z: z[1] || CASE WHEN z[2] IS NULL THEN '' ELSE known[z[2]] END), '')"""
     white = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
     return rf"regexp_replace(regexp_replace({text}, '[ \t-\r]+', ' ', 'g'), '\A[{white}]+|[{white}]+\z', '', 'g')"
 
@@ -145,9 +186,12 @@ _WORDS_SQL = r"list_distinct(regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+'))
 @query(
     "search_pages",
     rf"""
-WITH page AS (
+WITH named AS (SELECT unnest([{_NAMED}], recursive := true)),
+met AS (SELECT DISTINCT unnest(regexp_extract_all(html, '{passages.ENTITY}')) AS e FROM pages),
+table_of AS (SELECT coalesce(map_from_entries(list((e, {_entity_sql("e")}))), MAP {{}}) AS known FROM met),
+page AS (
   SELECT page_id, url, {_tidy_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, {_tidy_sql(_BARE_SQL)} AS body
-  FROM pages),
+  FROM pages, table_of),
 held AS (SELECT page_id, unnest({_WORDS_SQL.format("concat_ws(' ', title, body)")}) AS word FROM page),
 asked AS (SELECT item_id, unnest({_WORDS_SQL.format("text")}) AS word FROM benchmark),
 counted AS (SELECT item_id, page_id, count(*) AS n FROM asked JOIN held USING (word) GROUP BY 1, 2),
@@ -165,9 +209,32 @@ def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.search_pages(asked, inputs.table(spark, folder, "pages"))
 
 
-@query("index_incremental", f"WITH {chunked('documents')} SELECT chunk_id, doc_key::VARCHAR AS doc_key, chunk_no, text FROM chunks")
+_CHANGED = """changed AS (
+  SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN text || ' and more' ELSE text END AS text FROM documents WHERE doc_id % 11 <> 0)"""
+_INDEXED = f"WITH {_CHANGED}, {chunked('changed')} SELECT chunk_id, doc_key::VARCHAR AS doc_key, chunk_no, text FROM chunks"
+
+
+def _versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The documents, and what becomes of them: a seventh changes, an eleventh goes."""
+    first = inputs.documents(spark, folder).select("doc_key", "text")
+    key, text = F.col("doc_key"), F.col("text")
+    later = F.when(key % 11 == 0, F.lit(None)).when(key % 7 == 0, F.concat(text, F.lit(" and more"))).otherwise(text)
+    return first, first.withColumn("text", later)
+
+
+@query("index_incremental", _INDEXED)
 def index_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Indexed twice; the second run finds nothing new."""
-    documents, path = inputs.documents(spark, folder), new_run_folder(spark, "index")
-    streams.index_incremental(documents, path)
-    return streams.index_incremental(documents, path)
+    """Indexed, then changed, then the same again, which adds nothing."""
+    first, second = _versions(spark, folder)
+    path = new_run_folder(spark, "index")
+    for number, documents in enumerate((first, second, second)):
+        streams.index_batch(documents, path, f"run-{number}")
+    return streams.read_index(spark, path)
+
+
+@query("index_stream", _INDEXED)
+def index_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as the documents arrive."""
+    path, state = new_run_folder(spark, "index"), new_run_folder(spark, "state")
+    streams.in_waves(list(_versions(spark, folder)), lambda arriving: streams.index_stream(arriving, path, state))
+    return streams.read_index(spark, path)

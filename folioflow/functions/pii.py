@@ -7,7 +7,7 @@ rules are looped over while the plan is built, not joined to rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -16,9 +16,19 @@ from pyspark.sql import functions as F
 # The entities redacted by default, the score floor, and the two
 # number shapes that count as a social security number with their scores.
 DEFAULT_ENTITIES = (
-    "PERSON EMAIL_ADDRESS PHONE_NUMBER US_SSN US_ITIN CREDIT_CARD "
-    "US_BANK_NUMBER IBAN_CODE US_PASSPORT US_DRIVER_LICENSE MEDICAL_LICENSE CRYPTO"
-).split()
+    "PERSON",
+    "EMAIL_ADDRESS",
+    "PHONE_NUMBER",
+    "US_SSN",
+    "US_ITIN",
+    "CREDIT_CARD",
+    "US_BANK_NUMBER",
+    "IBAN_CODE",
+    "US_PASSPORT",
+    "US_DRIVER_LICENSE",
+    "MEDICAL_LICENSE",
+    "CRYPTO",
+)
 DEFAULT_THRESHOLD = 0.35
 OFF_WORDS = ("off", "0", "false", "no")
 SSN_DELIMITED = (r"\b[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}\b", 0.6)
@@ -29,8 +39,10 @@ SSN_CONTEXT = ("ssn", "social security", "social-security")
 CONTEXT_WORDS_BACK = 5
 CONTEXT_BOOST = 0.35
 
-# Hits walked at a time when offsets are added up.
+# Hits walked at a time when offsets are added up, and characters looked at before
+# a hit at first.
 BLOCK = 500
+WINDOW = 200
 
 SPAN_TYPE = "array<struct<entity:string,start:int,stop:int,score:double>>"
 EMPTY_SPANS = f"CAST(array() AS {SPAN_TYPE})"
@@ -121,7 +133,7 @@ class RedactionSettings:
     """How to redact. ``from_options`` reads the loose text forms of it."""
 
     enabled: bool = True
-    entities: tuple[str, ...] = tuple(DEFAULT_ENTITIES)
+    entities: tuple[str, ...] = DEFAULT_ENTITIES
     threshold: float = DEFAULT_THRESHOLD
     rules: tuple[Rule, ...] = RULES
 
@@ -138,7 +150,7 @@ class RedactionSettings:
             floor = DEFAULT_THRESHOLD
         return cls(
             enabled=switch.strip().lower() not in OFF_WORDS,
-            entities=listed or tuple(DEFAULT_ENTITIES),
+            entities=listed or DEFAULT_ENTITIES,
             threshold=floor,
         )
 
@@ -211,12 +223,19 @@ def pattern_hits(text: Column, pattern: str) -> Column:
 
     # Appending to an array copies it, so long lists are walked in blocks and
     # the blocks are then shifted: n * BLOCK copies instead of n * n.
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.greatest(F.size(hits), F.lit(1)) - 1) / BLOCK).cast("int")),
-        lambda b: b * BLOCK + 1,
-    )
-    walked = F.transform(blocks, lambda at: F.aggregate(F.slice(steps, at, F.lit(BLOCK)), empty, walk))
-    return _shift_blocks(walked)
+    def in_blocks(found: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.greatest(F.size(found), F.lit(1)) - 1) / BLOCK).cast("int")),
+            lambda b: b * BLOCK + 1,
+        )
+        return _shift_blocks(F.transform(blocks, lambda at: F.aggregate(F.slice(found, at, F.lit(BLOCK)), empty, walk)))
+
+    return bound(steps, in_blocks)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a costly value that is worked out once, wherever it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _shift_blocks(walked: Column) -> Column:
@@ -243,10 +262,19 @@ def _shift_blocks(walked: Column) -> Column:
 
 
 def words_before(text: Column, start: Column, n: int = CONTEXT_WORDS_BACK) -> Column:
-    """The ``n`` words before an offset, lower-cased, in reading order."""
-    before = F.split(F.rtrim(F.substr(text, F.lit(1), start)), r"\s+")
-    return F.lower(
-        F.array_join(F.reverse(F.slice(F.reverse(before), F.lit(1), F.lit(n))), " ")
+    """The ``n`` words before an offset, lower-cased, in reading order.
+
+    A window is looked at first. Only where it holds no more than ``n`` words, so that
+    the first of them may be cut, is all of the text before the offset.
+    """
+    cut = lambda part: F.split(F.rtrim(part), r"\s+")
+    window = F.substr(text, F.greatest(start - WINDOW, F.lit(0)) + 1, F.least(start, F.lit(WINDOW)))
+    before = bound(
+        cut(window),
+        lambda near: F.when((F.size(near) > n) | (start <= WINDOW), near).otherwise(cut(F.substr(text, F.lit(1), start))),
+    )
+    return bound(
+        before, lambda w: F.lower(F.array_join(F.slice(w, F.greatest(F.size(w) - (n - 1), F.lit(1)), F.lit(n)), " "))
     )
 
 

@@ -3,7 +3,8 @@
 A window over a whole group sorts that group in one task. Here the group is cut
 by a ``bucket`` that never decreases in the order column; windows run per
 bucket, and what crosses buckets is carried over a table of one small row per
-(group, bucket). Exact, for any cut.
+(group, bucket). Exact, for any cut. ``stretches`` makes an even cut of any data: ranges
+of the order itself, so a group that holds nearly all rows lies in nearly all ranges.
 """
 
 from __future__ import annotations
@@ -15,6 +16,24 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.session import new_run_folder
+
+STRETCH = "_stretch"
+
+
+def stretches(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` with its even ranges of (keys, order), numbered in ``_stretch``.
+
+    Written to the shared folder, as bounds are drawn from a sample and must be the
+    same wherever the table is read.
+    """
+    spark = df.sparkSession
+    folder = new_run_folder(spark, "stretches")
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(count, *[F.col(k) for k in keys], *order).withColumn(STRETCH, F.spark_partition_id())
+    cut.write.parquet(folder)
+    return spark.read.schema(cut.schema).parquet(folder)
+
 
 def position_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column) -> DataFrame:
     """Adds ``position``: 1-based place within ``keys`` by ``order``."""

@@ -43,9 +43,10 @@ def cache_split(files: DataFrame, cache: DataFrame, use_cache: bool = True) -> t
 
     A hit serves the stored text under the current file name, keeps the stored
     extractor (or ``cache``) and is marked ``from_cache``. A corrupt entry is a
-    miss. Text files never look. Content stays out of the join: only names and
-    keys are shuffled, and a hot key is left to the adaptive skew join, since
-    the cache side has one row per key.
+    miss. Text files never look, so a miss that is a text file keeps its ``content``;
+    other misses have none, as what extracts them reads the file by its path. So only
+    names and keys are shuffled, and a hot key is left to the adaptive skew join,
+    since the cache side has one row per key.
     """
     names = [c for c in files.columns if c != "content"]
     looking = files.select(*names).filter(F.col("modality") != "text")
@@ -62,12 +63,13 @@ def cache_split(files: DataFrame, cache: DataFrame, use_cache: bool = True) -> t
         F.coalesce("e.metadata", F.expr("CAST(map() AS map<string,string>)")).alias("metadata"),
         F.lit(True).alias("from_cache"),
     )
-    if not use_cache:
-        return hits, files
-    known = entries.select("cache_key")
     text_files = files.filter(F.col("modality") == "text")
-    other = files.filter(F.col("modality") != "text")
-    return hits, other.join(known, "cache_key", "left_anti").unionByName(text_files)
+    other = files.select(*names).filter(F.col("modality") != "text")
+    if use_cache:
+        other = other.join(entries.select("cache_key"), "cache_key", "left_anti")
+    if "content" in files.columns:
+        other = other.withColumn("content", F.lit(None).cast("binary"))
+    return hits, text_files.unionByName(other)
 
 
 def unique_work(misses: DataFrame) -> tuple[DataFrame, DataFrame]:

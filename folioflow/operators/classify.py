@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 from folioflow.functions.text import last_part, ordered_text, strip, suffix
 
 # Which suffixes mean which kind of file. Plain text comes first.
-TEXT_SUFFIXES = """
-    txt md markdown rst log csv tsv
-    json yaml yml toml ini cfg conf env xml properties
-    py js jsx ts tsx java c h cpp cc hpp cs go rs rb php swift kt kts
-    scala pl pm lua r jl dart vue svelte sh bash zsh fish ps1 bat sql graphql
-    html htm css scss sass less tf dockerfile makefile gradle ipynb m asm f90 vb clj
-    ex exs erl hs ml nim zig
-""".split()
+TEXT_SUFFIXES = (
+    ".txt", ".md", ".markdown", ".rst", ".log", ".csv", ".tsv", ".json", ".yaml", ".yml", ".toml",
+    ".ini", ".cfg", ".conf", ".env", ".xml", ".properties", ".py", ".js", ".jsx", ".ts", ".tsx",
+    ".java", ".c", ".h", ".cpp", ".cc", ".hpp", ".cs", ".go", ".rs", ".rb", ".php", ".swift",
+    ".kt", ".kts", ".scala", ".pl", ".pm", ".lua", ".r", ".jl", ".dart", ".vue", ".svelte", ".sh",
+    ".bash", ".zsh", ".fish", ".ps1", ".bat", ".sql", ".graphql", ".html", ".htm", ".css", ".scss",
+    ".sass", ".less", ".tf", ".dockerfile", ".makefile", ".gradle", ".ipynb", ".m", ".asm", ".f90",
+    ".vb", ".clj", ".ex", ".exs", ".erl", ".hs", ".ml", ".nim", ".zig",
+)
 MODALITY_SUFFIXES = {
-    "image": "png jpg jpeg gif webp bmp tif tiff".split(),
-    "document": "pdf docx doc".split(),
-    "audio": "mp3 wav m4a flac ogg amr".split(),
-    "video": "mp4 mov".split(),
-    "spreadsheet": "xlsx xlsm xls".split(),
+    "image": (".png", ".jpg", ".jpeg", ".gif", ".webp", ".bmp", ".tif", ".tiff"),
+    "document": (".pdf", ".docx", ".doc"),
+    "audio": (".mp3", ".wav", ".m4a", ".flac", ".ogg", ".amr"),
+    "video": (".mp4", ".mov"),
+    "spreadsheet": (".xlsx", ".xlsm", ".xls"),
 }
 TEXT_NAMES = ("dockerfile", "makefile", "rakefile")
 SNIFFED_BYTES = 8192
@@ -39,9 +40,9 @@ UNREADABLE = (
 def modality_by_name(filename: Column) -> Column:
     """Kind of file by its name alone; NULL when the name does not tell."""
     ending = suffix(filename)
-    known = F.when(ending.isin(*[f".{s}" for s in TEXT_SUFFIXES]), "text")
+    known = F.when(ending.isin(*TEXT_SUFFIXES), "text")
     for modality, suffixes in MODALITY_SUFFIXES.items():
-        known = known.when(ending.isin(*[f".{s}" for s in suffixes]), modality)
+        known = known.when(ending.isin(*suffixes), modality)
     return known.when(F.lower(last_part(filename)).isin(*TEXT_NAMES), "text")
 
 

@@ -58,7 +58,8 @@ def form_fields(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Keys meet their value block, and both meet their words, by equi-joins on
     (doc_key, id). Words keep child order; a selected box reads ``[X]``. Of
-    several value links the last counts; keys without words are dropped.
+    several value links the last counts; keys without words are dropped. A form with
+    neither lines nor fields has an empty text.
     """
     key_blocks = blocks.filter(
         (F.col("block_type") == "KEY_VALUE_SET") & F.array_contains("entity_types", "KEY")
@@ -123,8 +124,12 @@ def form_fields(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "\n",
     )
+    every = blocks.select("doc_key").distinct().select(
+        "doc_key", F.lit(2).alias("part"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("line")
+    )
     documents = (
         lines.unionByName(fields)
+        .unionByName(every)
         .groupBy("doc_key")
         .agg(part_text(0).alias("lines"), part_text(1).alias("fields"))
         .select(
@@ -142,9 +147,9 @@ def form_fields(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 def sheets_to_text(sheet_cells: DataFrame) -> DataFrame:
     """(doc_key, text) from (doc_key, sheet_no, sheet_name, row_no, cells).
 
-    Row 0 of a sheet is its header; a sheet without further rows is skipped.
-    Cells are quoted, and rows joined, before anything is shuffled. The two
-    steps share one exchange, since a workbook's sheets lie on one key.
+    Row 0 of a sheet is its header; a sheet without further rows is skipped, and a
+    workbook of such sheets has an empty text. Cells are quoted, and rows joined,
+    before anything is shuffled. Rows are dealt by workbook, which serves both steps.
     """
 
     def quoted(cell):
@@ -157,15 +162,12 @@ def sheets_to_text(sheet_cells: DataFrame) -> DataFrame:
     rows = sheet_cells.select(
         "doc_key", "sheet_no", "sheet_name", "row_no", F.when(only_empty, '""').otherwise(row).alias("row")
     )
+    titled = F.concat(F.lit("## Sheet: "), "sheet_name", F.lit("\n\n"), strip(F.col("csv")))
     sheets = (
-        rows.groupBy("doc_key", "sheet_no", "sheet_name")
+        rows.repartition("doc_key")
+        .groupBy("doc_key", "sheet_no", "sheet_name")
         .agg(ordered_text(F.col("row_no"), F.col("row"), "\n").alias("csv"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-        .select(
-            "doc_key",
-            "sheet_no",
-            F.concat(F.lit("## Sheet: "), "sheet_name", F.lit("\n\n"), strip(F.col("csv"))).alias("sheet"),
-        )
+        .select("doc_key", "sheet_no", F.when(F.col("n") > 1, titled).alias("sheet"))
     )
     return sheets.groupBy("doc_key").agg(
         ordered_text(F.col("sheet_no"), F.col("sheet"), "\n\n").alias("text")

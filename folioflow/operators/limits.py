@@ -8,16 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.functions.ranking import matched, position_in_group
+from folioflow.functions.ranking import STRETCH, matched, position_in_group, stretches
 
-# Requests per window, alert thresholds, delete batch, longest key
-# of an object store, retention by key prefix in days, and list prices per unit by (extractor, modality).
+# Requests per window, alert thresholds, delete batch, retention by
+# key prefix in days, and list prices per unit by (extractor, modality).
 RATE_LIMIT = 2000
 RATE_MINUTES = 5
 BUDGET_THRESHOLDS = (50.0, 90.0)
 FORECAST_THRESHOLD = 100.0
 DELETE_BATCH = 1000
-MAX_KEY = 1024
 RETENTION_DAYS = {"uploads/": 1, "bda-output/": 1}
 PRICES = {
     ("vision", "image"): 0.001,
@@ -183,29 +182,24 @@ def retention_plan(
     )
 
 
-def purge_plan(
-    objects: DataFrame, prefixes: DataFrame, batch: int = DELETE_BATCH, hash_digits: int = 4
-) -> DataFrame:
+def purge_plan(objects: DataFrame, prefixes: DataFrame, batch: int = DELETE_BATCH) -> DataFrame:
     """(prefix, batch_no, key): what to delete, ``batch`` keys at a time.
 
-    A key is under a prefix if it starts with it, whatever the prefix ends in.
-    Keys meet prefixes by an equi-join on their beginnings, one for each length
-    that a prefix has; as keys are at most 1,024 characters, so are the lengths.
-    Batches fill in the order of the key's hash, whose first digits also cut a
-    prefix into 65,536 even stretches at most, of one task's work each.
+    A key is under a prefix if it starts with it, whatever the prefix ends in and
+    however long it is. Keys meet prefixes by an equi-join on their beginnings, one
+    for each length that a prefix has. Batches fill in the order of the key's hash.
+    Keys are joined once and dealt in even ranges of (prefix, hash), so a prefix that
+    holds nearly all keys is spread over all tasks.
     """
-    wanted = prefixes.filter(F.length("prefix") <= MAX_KEY).select("prefix").distinct()
+    wanted = prefixes.filter(F.col("prefix").isNotNull()).select("prefix").distinct()
     lengths = sorted(row[0] for row in wanted.select(F.length("prefix")).distinct().collect())
-    if not lengths:
-        lengths = [MAX_KEY]
     beginnings = F.array_compact(
-        F.array(*[F.when(F.length("key") >= n, F.substring("key", 1, n)) for n in lengths])
+        F.array(*[F.when(F.length("key") >= n, F.substring("key", 1, n)) for n in lengths or [1]])
     )
     inside = objects.select("key", F.explode(beginnings).alias("prefix")).join(wanted, "prefix")
     hashed = inside.withColumn("_h", F.md5("key"))
-    placed = position_in_group(
-        hashed, ["prefix"], [F.col("_h"), F.col("key")], F.substring("_h", 1, hash_digits)
-    )
+    order = [F.col("_h"), F.col("key")]
+    placed = position_in_group(stretches(hashed, ["prefix"], order), ["prefix"], order, F.col(STRETCH))
     return placed.select(
         "prefix", F.floor((F.col("position") - 1) / batch).cast("bigint").alias("batch_no"), "key"
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow import schemas
-from folioflow.functions.ranking import position_in_group
+from folioflow.functions.ranking import STRETCH, position_in_group, stretches
 
 # How long turns live, how many are read back, how many facts.
 TURN_DAYS = 7
@@ -157,16 +157,14 @@ def rank_facts(queries: DataFrame, facts: DataFrame, k: int = TOP_FACTS) -> Data
     )
 
 
-def fact_batches(
-    turns: DataFrame, n: int = FACT_BATCH, keys: tuple[str, ...] = ("session_id",), seq_bucket: int = 100_000
-) -> DataFrame:
+def fact_batches(turns: DataFrame, n: int = FACT_BATCH, keys: tuple[str, ...] = ("session_id",)) -> DataFrame:
     """(keys, batch_no, turns, text): user turns, ``n`` at a time, in order.
 
-    Places are found per stretch of ``seq_bucket`` order keys and carried over,
-    so one endless session does not end up in one task.
+    Places are found per even stretch of (keys, seq) and carried over, so one
+    endless session does not end up in one task, whatever its order keys are.
     """
     said = turns.filter(F.lower("role") == "user").select(*keys, "seq", "text")
-    placed = position_in_group(said, keys, [F.col("seq")], F.floor(F.col("seq") / seq_bucket))
+    placed = position_in_group(stretches(said, keys, [F.col("seq")]), keys, [F.col("seq")], F.col(STRETCH))
     batch = F.floor((F.col("position") - 1) / n).cast("bigint")
     return (
         placed.withColumn("batch_no", batch)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html.entities
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioflow.functions.pii import bound
 from folioflow.functions.plan import once
 from folioflow.functions.text import ordered_text, strip
 from folioflow.operators import search
-from folioflow.operators.search import MAX_SHIPPED, _matrix
+from folioflow.operators.search import as_matrix, cosine
+from folioflow.session import new_run_folder
 
 # How passages and page results are put together.
 PASSAGE_BREAK = "\n---\n"
@@ -24,10 +27,11 @@ BANDS = 56
 BITS = 6
 
 
-def _broadcast_if_few(ranked: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Ranked rows are at most ``k`` per query: small when the queries are few."""
-    few = queries.limit(MAX_SHIPPED + 1).count() <= MAX_SHIPPED
-    return F.broadcast(ranked) if few and k <= 100 else ranked
+def kept(table: DataFrame, purpose: str) -> DataFrame:
+    """The table, written to the shared folder: made once, and of known size."""
+    folder = new_run_folder(table.sparkSession, purpose)
+    table.write.parquet(folder)
+    return table.sparkSession.read.schema(table.schema).parquet(folder)
 
 
 def render_passages(
@@ -36,11 +40,12 @@ def render_passages(
     """(query_id, answer): passages in rank order, or the not-found sentence.
 
     ``queries`` has ``id``, ``ranked`` has (query_id, id, rank) and ``chunks``
-    (chunk_id, text). Only ranked chunks leave the chunk table.
+    (chunk_id, text). Ranked rows are ``k`` for a query, and are written first, so
+    that where they are few the chunks meet them without being shuffled.
     """
     found = (
         chunks.select(F.col("chunk_id").alias("id"), "text")
-        .join(_broadcast_if_few(ranked.select("query_id", "id", "rank"), queries, k), "id")
+        .join(kept(ranked.select("query_id", "id", "rank"), "ranked"), "id")
         .groupBy("query_id")
         .agg(ordered_text(F.col("rank"), F.col("text"), PASSAGE_BREAK).alias("passages"))
     )
@@ -68,19 +73,43 @@ def page_text(html: Column) -> Column:
     return _tidy(bare)
 
 
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+LAST_CODE, SURROGATES = 0x10FFFF, (0xD800, 0xDFFF)
+
+
+def decoded(entity: Column) -> Column:
+    """What an HTML entity stands for; the entity itself where it is none.
+
+    Decimal, hexadecimal, and those with the names of the standard's own table.
+    """
+    names = F.create_map(
+        *[x for name, code in html.entities.name2codepoint.items() for x in (F.lit(name), F.lit(chr(code)))],
+        F.lit("apos"),
+        F.lit("'"),
+    )
+    inner = F.substring(entity, 2, 33)
+    body = F.substr(inner, F.lit(1), F.length(inner) - 1)
+    hexadecimal = F.when(body.rlike("^#[xX]"), F.substring(body, 3, 6)).when(
+        body.startswith("#"), F.hex(F.substring(body, 2, 7).cast("bigint"))
+    )
+
+    def character(digits: Column) -> Column:
+        code = F.conv(digits, 16, 10).cast("bigint")
+        good = (code > 0) & (code <= LAST_CODE) & ~code.between(*SURROGATES)
+        return F.when(good, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+
+    return F.coalesce(F.when(hexadecimal.isNotNull(), character(hexadecimal)).otherwise(F.try_element_at(names, body)), entity)
+
+
+def unescaped(text: Column) -> Column:
+    """Text with its entities decoded, once each: what comes out is not looked at again."""
+    pieces, found = F.split(text, ENTITY), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+    joined = F.zip_with(pieces, found, lambda piece, e: F.concat(piece, F.when(e.isNull(), "").otherwise(decoded(e))))
+    return F.when(text.contains("&"), F.array_join(joined, "")).otherwise(text)
+
+
 def _tidy(text: Column) -> Column:
-    for entity, character in (
-        ("&nbsp;", " "),
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&copy;", "©"),
-        ("&middot;", "·"),
-        ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return strip(F.regexp_replace(text, r"\s+", " "))
+    return strip(F.regexp_replace(unescaped(text), r"\s+", " "))
 
 
 def word_set(text: Column) -> Column:
@@ -97,11 +126,14 @@ def search_pages(queries: DataFrame, pages: DataFrame, k: int = TOP, snippet_cha
     text is whole unless ``snippet_chars`` cuts it.
     """
     shown_text = F.col("body") if snippet_chars is None else strip(F.substring("body", 1, snippet_chars))
-    read = once(
-        pages.select("page_id", "url", "html"),
-        F.col("html"),
-        lambda html: {"title": page_title(html), "body": page_text(html)},
-    ).drop("html")
+    read = kept(
+        once(
+            pages.select("page_id", "url", "html"),
+            F.col("html"),
+            lambda page: {"title": page_title(page), "body": page_text(page)},
+        ).drop("html"),
+        "pages",
+    )
     asked = queries.select(F.col("query_id").alias("id"), word_set(F.col("text")).alias("terms"))
     held = read.select(
         F.col("page_id").alias("id"), word_set(F.concat_ws(" ", "title", "body")).alias("terms")
@@ -116,7 +148,7 @@ def search_pages(queries: DataFrame, pages: DataFrame, k: int = TOP, snippet_cha
     )
     shown = (
         read.withColumnRenamed("page_id", "id")
-        .join(_broadcast_if_few(ranked, asked, k), "id")
+        .join(kept(ranked, "ranked"), "id")
         .groupBy("query_id")
         .agg(ordered_text(F.col("rank"), block, RESULT_BREAK).alias("results"))
     )
@@ -137,7 +169,7 @@ def band_keys(vectors: DataFrame, bands: int = BANDS, bits: int = BITS, seed: in
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes, powers = None, 1 << np.arange(bits)
         for batch in batches:
-            matrix = _matrix(batch.column("vector"))
+            matrix = as_matrix(batch.column("vector"))
             if planes is None:
                 planes = np.random.default_rng(seed).standard_normal((matrix.shape[1], bands * bits))
             ups = (matrix @ planes > 0).reshape(len(matrix), bands, bits)
@@ -164,16 +196,6 @@ def candidates(queries: DataFrame, vectors: DataFrame, bands: int = BANDS, bits:
     return keyed(vectors, "id").join(keyed(queries, "query_id"), ["band", "key"]).select("query_id", "id").distinct()
 
 
-def cosine(left: Column, right: Column) -> Column:
-    """Cosine of two vectors; 0 where one has no length."""
-
-    def dot(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-
-    length = F.sqrt(dot(left, left)) * F.sqrt(dot(right, right))
-    return F.when(length > 0, dot(left, right) / length).otherwise(F.lit(0.0))
-
-
 def search_vectors_lsh(
     queries: DataFrame, vectors: DataFrame, k: int = TOP, bands: int = BANDS, bits: int = BITS
 ) -> DataFrame:

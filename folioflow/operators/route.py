@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.pii import bound
 from folioflow.functions.plan import once
 from folioflow.functions.text import words
 
@@ -38,19 +39,34 @@ NOT_FOUND = {
     "operations": "No matching operations documents found.",
 }
 
-# Ours: the reply names no company, and routing is by words, not by a model.
+# Ours: the reply names no company, and routing is by weighted words, not by a model.
 GREETING_REPLY = "Hi! I'm the assistant. I can help with HR, Safety, or Operations — what do you need?"
-AREA_WORDS = {
-    "hr": "onboarding benefits pto pay payroll vacation policy hire orientation insurance timesheet".split(),
-    "safety": "ppe safety hazard hazards osha incident injury lockout tagout harness helmet".split(),
-    "operations": "sop sops schedule schedules scheduling calendar ticket tickets jabber shift handoff".split(),
-}
-PROTECTIVE = r"\bppe\b|protective equipment"
-TO_ACT = (
-    r"\b(send|message|notify)\b.*\bjabber\b|\bjabber\b.*\bsaying\b|"
-    r"\b(open|file|submit|create|log)\b.*\b(ticket|request)\b|"
-    r"\b(check|look up|show)\b.*\bcalendar\b"
-)
+# (word, area, weight): an area is taken from a score of LEAST_SCORE on, so words that
+# are in many requests count only together.
+ROUTE_WORDS = [
+    *[(w, "hr", 2) for w in ("onboarding", "benefits", "pto", "payroll", "vacation", "orientation", "insurance", "timesheet")],
+    *[(w, "hr", 1) for w in ("pay", "policy", "hire", "leave", "enroll", "manager")],
+    *[(w, "safety", 2) for w in ("ppe", "safety", "hazard", "hazards", "osha", "incident", "injury", "lockout", "tagout")],
+    *[(w, "safety", 1) for w in ("harness", "helmet", "spill", "fire", "wear", "report")],
+    *[(w, "operations", 2) for w in ("sop", "sops", "schedule", "schedules", "scheduling", "calendar", "ticket", "tickets", "jabber")],
+    *[(w, "operations", 1) for w in ("shift", "handoff", "crane", "dock", "line", "manager")],
+]
+LEAST_SCORE = 2
+# (pattern, effect, area), the first that ends it wins: ``only`` sends a request to the
+# area and nowhere else, ``add`` sends it there too, ``never`` keeps it from there.
+ROUTE_PRECEDENCE = [
+    (
+        r"\b(send|message|notify)\b.*\bjabber\b|\bjabber\b.*\bsaying\b|"
+        r"\b(open|file|submit|create|log)\b.*\b(ticket|request)\b|"
+        r"\b(check|look up|show)\b.*\bcalendar\b",
+        "only",
+        "operations",
+    ),
+    (r"\bppe\b|protective equipment", "add", "safety"),
+    (r"\bppe\b|protective equipment", "never", "operations"),
+]
+AREAS = ("hr", "safety", "operations")
+OTHERWISE = "web"
 
 
 def split_greetings(messages: DataFrame, reply: str = GREETING_REPLY) -> tuple[DataFrame, DataFrame]:
@@ -59,34 +75,57 @@ def split_greetings(messages: DataFrame, reply: str = GREETING_REPLY) -> tuple[D
     return messages.filter(small).withColumn("reply", F.lit(reply)), messages.filter(~small)
 
 
-def routes_of(text: Column) -> Column:
-    """Areas a message goes to. To act beats all and goes to operations;
-    protective equipment goes to safety and never to operations; no area at
-    all means the web."""
+def routes_of(
+    text: Column,
+    words: list[tuple[str, str, int]] = ROUTE_WORDS,
+    precedence: list[tuple[str, str, str]] = ROUTE_PRECEDENCE,
+    least: int = LEAST_SCORE,
+) -> Column:
+    """(route, score) of the areas that a message goes to.
+
+    The score of an area is the sum of the weights of its words that stand in the
+    message, each counted once. Precedence is looked at in order; no area at all
+    means the web.
+    """
+    weights: dict[str, list[tuple[str, int]]] = {}
+    for word, area, weight in words:
+        weights.setdefault(word, []).append((area, weight))
+    entry = lambda a, w: F.struct(F.lit(a).alias("area"), F.lit(w).alias("weight"))
+    known = F.create_map(*[x for word, own in weights.items() for x in (F.lit(word), F.array(*[entry(*o) for o in own]))])
     lowered = F.lower(text)
-    tokens = F.regexp_extract_all(lowered, F.lit(r"[\p{L}]+"), F.lit(0))
-    protective = lowered.rlike(PROTECTIVE)
-    hit = {
-        area: F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in listed]))
-        for area, listed in AREA_WORDS.items()
-    }
-    areas = F.array_compact(
-        F.array(
-            F.when(hit["hr"], F.lit("hr")),
-            F.when(hit["safety"] | protective, F.lit("safety")),
-            F.when(hit["operations"] & ~protective, F.lit("operations")),
-        )
+    tokens = F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"[\p{L}]+"), F.lit(0)))
+    hits = F.flatten(
+        F.transform(F.filter(tokens, lambda t: t.isin(list(weights))), lambda t: F.try_element_at(known, t))
     )
-    return (
-        F.when(lowered.rlike(TO_ACT), F.array(F.lit("operations")))
-        .when(F.size(areas) > 0, areas)
-        .otherwise(F.array(F.lit("web")))
-    )
-
-
-def route_requests(messages: DataFrame) -> DataFrame:
-    """One row per message and route."""
-    return messages.withColumn("route", F.explode_outer(routes_of(F.col("text"))))
+    route = lambda area, score: F.struct(F.lit(area).alias("route"), score.alias("score"))
+
+    def chosen(found: Column) -> Column:
+        def total(area: str) -> Column:
+            own = F.filter(found, lambda h: h["area"] == area)
+            return F.aggregate(own, F.lit(0), lambda sum_, h: sum_ + h["weight"])
+
+        score = {area: total(area) for area in AREAS}
+        taken = {area: score[area] >= least for area in AREAS}
+        only = None
+        for pattern, effect, area in precedence:
+            if effect == "add":
+                taken[area] = taken[area] | lowered.rlike(pattern)
+            elif effect == "never":
+                taken[area] = taken[area] & ~lowered.rlike(pattern)
+            else:
+                fits = F.array(route(area, score[area]))
+                only = F.when(lowered.rlike(pattern), fits) if only is None else only.when(lowered.rlike(pattern), fits)
+        listed = F.array_compact(F.array(*[F.when(taken[area], route(area, score[area])) for area in AREAS]))
+        rest = F.when(F.size(listed) > 0, listed).otherwise(F.array(route(OTHERWISE, F.lit(0))))
+        return rest if only is None else only.otherwise(rest)
+
+    return bound(F.coalesce(hits, F.expr("CAST(array() AS array<struct<area:string,weight:int>>)")), chosen)
+
+
+def route_requests(messages: DataFrame, **rules) -> DataFrame:
+    """One row per message and route, with the score of the route."""
+    routed = messages.withColumn("_route", F.explode_outer(routes_of(F.coalesce("text", F.lit("")), **rules)))
+    return routed.select(*messages.columns, "_route.route", "_route.score")
 
 
 def recover_tool_calls(replies: DataFrame) -> DataFrame:

@@ -1,274 +1,173 @@
 """Ranked retrieval for a table of queries.
 
-Exact search reads the corpus once and shuffles none of it. Each task scores
-its own rows against all queries and keeps the best ``k`` per query; only those
-leave the task, and a window picks the final ``k``. No (query, row) pair is
-ever written out, so a term that a third of the rows hold costs arithmetic but
-no shuffle.
-
-The queries are shipped to the tasks when they are counted to be few
-(``MAX_SHIPPED``). Beyond that, both sides are cut into blocks of bounded size
-and every block of rows meets every block of queries on an equi-key, with the
-same scoring inside.
+Terms: rows and queries become postings (term, id, frequency), which meet by an
+equi-join on the term. Rows are dealt by their id before they are cut into postings,
+and the postings of the queries are a written table of known size, so where that is
+small it is broadcast, the products of a row and a query are summed in the task that
+holds the row, and only the best ``k`` rows of a query leave the task. Where it is
+not, both sides are dealt by term, adaptive execution splits a frequent one, and the
+products are summed by another exchange. Either way no rows of a term are gathered.
+
+Vectors: a scan scores batches of rows against blocks of queries, which tasks read from
+the shared folder block by block, so memory has a bound whatever the number of queries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+import pyarrow.dataset
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_SHIPPED = 4096
-BLOCK_ROWS = 20_000
-# (row, query) cells scored at a time: bounds the memory of one step.
-CELLS = 4_000_000
-RANKED = "query_id {q}, id {i}, score double"
-
-
-# --- Scoring one block of rows against one block of queries -------------------
-
-
-def _term_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Distinct (row, code) pairs with their counts, and what each code means."""
-    terms = table.column("terms").combine_chunks()
-    lengths = pc.list_value_length(terms).fill_null(0).to_numpy(zero_copy_only=False)
-    encoded = terms.flatten().dictionary_encode()
-    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    width = max(1, len(encoded.dictionary))
-    row = np.repeat(np.arange(table.num_rows, dtype=np.int64), lengths)
-    pairs, counts = np.unique(row * width + codes, return_counts=True)
-    return pairs // width, pairs % width, counts.astype(np.float64), encoded.dictionary
-
-
-class TermQueries:
-    """Queries as posting lists over terms (hash buckets, or words)."""
-
-    def __init__(self, table: pa.Table):
-        self.ids = table.column("id").to_pylist()
-        owner, code, tf, self.vocabulary = _term_counts(table)
-        order = np.argsort(code, kind="stable")
-        self.owner, self.tf = owner[order], tf[order]
-        self.begin = np.searchsorted(code[order], np.arange(len(self.vocabulary) + 1))
-        self.norm2 = np.bincount(owner, weights=tf * tf, minlength=len(self.ids))
-
-    def scores(self, batch: pa.Table) -> np.ndarray:
-        return self._products(*_term_counts(batch), batch.num_rows)
-
-    def _products(self, row, code, tf, meaning, n: int) -> np.ndarray:
-        """Sum of products per (row, query). Whole numbers, so it is exact."""
-        q = len(self.ids)
-        place = pc.index_in(meaning, value_set=self.vocabulary)
-        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        at = place[code]
-        known = at >= 0
-        row, tf, at = row[known], tf[known], at[known]
-        begin, counts = self.begin[at], self.begin[at + 1] - self.begin[at]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        posting = np.arange(total) + np.repeat(begin - ends + counts, counts)
-        cell = np.repeat(row, counts) * q + self.owner[posting]
-        products = np.repeat(tf, counts) * self.tf[posting]
-        return np.bincount(cell, weights=products, minlength=n * q).reshape(n, q)
-
-
-class CosineTerms(TermQueries):
-    """The same, divided by both lengths."""
-
-    def scores(self, batch: pa.Table) -> np.ndarray:
-        n = batch.num_rows
-        row, code, tf, meaning = _term_counts(batch)
-        norm2 = np.bincount(row, weights=tf * tf, minlength=n)
-        scale = np.sqrt(np.outer(norm2, self.norm2))
-        scale[scale == 0] = 1.0
-        return self._products(row, code, tf, meaning, n) / scale
-
-
-class DenseQueries:
-    """Queries as a matrix; the score is the cosine, rounded to 6 places.
-
-    Rounding before ranking keeps near-ties in the same order on any machine.
-    """
+from pyspark.sql.pandas.types import to_arrow_type
 
-    def __init__(self, table: pa.Table):
-        self.ids = table.column("id").to_pylist()
-        self.matrix = _unit(_matrix(table.column("vector")))
+from folioflow.functions.text import run_lengths
+from folioflow.session import new_run_folder
 
-    def scores(self, batch: pa.Table) -> np.ndarray:
-        return np.round(_unit(_matrix(batch.column("vector"))) @ self.matrix.T, 6)
+#: Rows and queries whose products are held at a time.
+GROUP_ROWS = 20_000
+QUERY_ROWS = 256
 
 
-def _matrix(column) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def best(scored: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best rows of each query of (query_id, id, score): score, then the lower id."""
+    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    return scored.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
-    norm = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-    norm[norm == 0] = 1.0
-    return matrix / norm
+# --- Terms ----------------------------------------------------------------------
 
 
-class Best:
-    """The best ``k`` rows per query so far: score first, then the lower id."""
-
-    def __init__(self, queries, k: int, positive_only: bool):
-        self.queries, self.k = queries, k
-        self.floor = np.full(len(queries.ids), -np.inf)
-        self.positive_only = positive_only
-        self.q = np.empty(0, np.int64)
-        self.score = np.empty(0)
-        self.id: list = []
-
-    def add(self, batch: pa.Table) -> None:
-        step = max(1, CELLS // max(1, len(self.queries.ids)))
-        for at in range(0, batch.num_rows, step):
-            self._add(batch.slice(at, step))
-
-    def _add(self, batch: pa.Table) -> None:
-        scores = self.queries.scores(batch)
-        n, k = scores.shape[0], self.k
-        floor = self.floor
-        if n > k:
-            floor = np.maximum(floor, np.partition(scores, n - k, axis=0)[n - k])
-        wanted = scores >= floor
-        if self.positive_only:
-            wanted &= scores > 0
-        rows, q = np.nonzero(wanted)
-        if not len(rows):
-            return
-        ids = batch.column("id").take(pa.array(rows)).to_pylist()
-        self.score = np.concatenate([self.score, scores[rows, q]])
-        self.q = np.concatenate([self.q, q])
-        self.id = self.id + ids
-        self._cut()
-
-    def _cut(self) -> None:
-        order = sorted(range(len(self.id)), key=lambda j: (self.q[j], -self.score[j], self.id[j]))
-        kept, last, taken = [], None, 0
-        for j in order:
-            taken = taken + 1 if self.q[j] == last else 1
-            last = self.q[j]
-            if taken <= self.k:
-                kept.append(j)
-            if taken == self.k:
-                self.floor[last] = self.score[j]
-        self.q, self.score = self.q[kept], self.score[kept]
-        self.id = [self.id[j] for j in kept]
-
-    def rows(self, schema: pa.Schema) -> pa.Table:
-        return pa.table(
-            [
-                pa.array([self.queries.ids[q] for q in self.q], schema.field(0).type),
-                pa.array(self.id, schema.field(1).type),
-                pa.array(self.score, pa.float64()),
-            ],
-            schema=schema,
-        )
-
-
-# --- Spark plans around it ----------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Scorer:
-    """What to compare: how to read the queries, and which scores count."""
-
-    read: Callable[[pa.Table], object]
-    positive_only: bool
-
-
-def _arrow_type(spark_type: T.DataType) -> pa.DataType:
-    if isinstance(spark_type, T.StringType):
-        return pa.string()
-    if isinstance(spark_type, T.LongType):
-        return pa.int64()
-    if isinstance(spark_type, T.IntegerType):
-        return pa.int32()
-    raise TypeError(f"ids must be string, int or bigint, not {spark_type.simpleString()}")
-
-
-def top_k(
-    queries: DataFrame,
-    rows: DataFrame,
-    k: int,
-    scorer: Scorer,
-    max_shipped: int = MAX_SHIPPED,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """(query_id, id, score, rank): the best ``k`` rows of every query."""
-    q_type, i_type = queries.schema["id"].dataType, rows.schema["id"].dataType
-    out = RANKED.format(q=q_type.simpleString(), i=i_type.simpleString())
-    schema = pa.schema(
-        [("query_id", _arrow_type(q_type)), ("id", _arrow_type(i_type)), ("score", pa.float64())]
+def postings(rows: DataFrame) -> DataFrame:
+    """(id, norm2, term, tf) of (id, terms): a row for each distinct term of a row."""
+    runs = rows.select("id", run_lengths(F.sort_array("terms")).alias("_runs"))
+    norm2 = F.aggregate("_runs", F.lit(0).cast("bigint"), lambda total, r: total + (r["tf"] * r["tf"]).cast("bigint"))
+    return (
+        runs.select("id", norm2.alias("norm2"), F.explode_outer("_runs").alias("r"))
+        .filter(F.col("r").isNotNull())
+        .select("id", "norm2", "r.term", F.col("r.tf").cast("bigint").alias("tf"))
     )
-    few = queries.limit(max_shipped + 1).toArrow()
-    if few.num_rows <= max_shipped:
-        partial = _against_shipped(few, rows, k, scorer, schema, out)
-    else:
-        partial = _against_blocks(queries, rows, k, scorer, schema, out, max_shipped, block_rows)
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return partial.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
 
 
-def _against_shipped(few: pa.Table, rows, k, scorer, schema, out) -> DataFrame:
-    shipped = rows.sparkSession.sparkContext.broadcast(few)
+def matched_terms(queries: DataFrame, rows: DataFrame) -> DataFrame:
+    """(query_id, id, dot, norm2, query_norm2) of rows that share a term with a query.
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(scorer.read(shipped.value), k, scorer.positive_only)
-        for batch in batches:
-            best.add(pa.Table.from_batches([batch]))
-        yield from best.rows(schema).to_batches()
+    ``dot`` is the sum of products of frequencies; whole numbers, so it is exact.
+    """
+    spark = rows.sparkSession
+    folder = new_run_folder(spark, "query-postings")
+    asked = postings(queries).select(
+        F.col("id").alias("query_id"), F.col("norm2").alias("query_norm2"), "term", F.col("tf").alias("query_tf")
+    )
+    asked.write.parquet(folder)
+    asked = spark.read.schema(asked.schema).parquet(folder)
+    # Terms are still an array here, which is less to shuffle than postings are.
+    held = postings(rows.select("id", "terms").repartition("id"))
+    return (
+        held.join(asked, "term")
+        .groupBy("id", "query_id", "norm2", "query_norm2")
+        .agg(F.sum(F.col("tf") * F.col("query_tf")).alias("dot"))
+    )
 
-    return rows.mapInArrow(score, out)
 
+def search_hashed(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
+    """(query_id, id, score, rank): top ``k`` by cosine over hashed term vectors.
 
-def _against_blocks(queries, rows, k, scorer, schema, out, max_shipped, block_rows) -> DataFrame:
-    query_blocks = 2 * (queries.count() // max_shipped + 1)
-    row_blocks = 2 * (rows.count() // block_rows + 1)
+    Both sides as (id, terms), see ``hash_vectors``. Ties by the lower id; only rows
+    that share a term with the query are ranked.
+    """
+    length = F.sqrt((F.col("norm2") * F.col("query_norm2")).cast("double"))
+    scored = matched_terms(queries, vectors).select("query_id", "id", (F.col("dot") / length).alias("score"))
+    return best(scored, k)
 
-    def gridded(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_n)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
-        )
 
-    left = gridded(rows, "rb", row_blocks, "qb", query_blocks).groupBy("rb", "qb")
-    right = gridded(queries, "qb", query_blocks, "rb", row_blocks).groupBy("rb", "qb")
+def search_terms(queries: DataFrame, texts: DataFrame, k: int = 5) -> DataFrame:
+    """Top ``k`` by sum of term products; with distinct terms on both sides that
+    is the number of query terms a row holds. Both sides as (id, terms)."""
+    return best(matched_terms(queries, texts).select("query_id", "id", F.col("dot").cast("double").alias("score")), k)
 
-    def score(block: pa.Table, asked: pa.Table) -> pa.Table:
-        if not block.num_rows or not asked.num_rows:
-            return schema.empty_table()
-        best = Best(scorer.read(asked), k, scorer.positive_only)
-        best.add(block)
-        return best.rows(schema)
 
-    return left.cogroup(right).applyInArrow(score, out)
+# --- Vectors ----------------------------------------------------------------------
 
 
-# --- The searches -------------------------------------------------------------
+def as_matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def unit(matrix: np.ndarray) -> np.ndarray:
+    norm = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    norm[norm == 0] = 1.0
+    return matrix / norm
 
 
-def search_hashed(queries: DataFrame, vectors: DataFrame, k: int = 5, **limits) -> DataFrame:
-    """Top ``k`` by cosine over hashed term vectors; ties by the lower id.
+def best_of_group(scores: np.ndarray, ids: list, k: int) -> tuple[list[int], list[int]]:
+    """(query, row) places of the best ``k`` rows of each column; ties by the lower id."""
+    n = len(ids)
+    floor = np.partition(scores, n - k, axis=0)[n - k] if n > k else np.full(scores.shape[1], -np.inf)
+    queries, rows = [], []
+    for q in range(scores.shape[1]):
+        near = np.flatnonzero(scores[:, q] >= floor[q]).tolist()
+        near.sort(key=lambda r: (-scores[r, q], ids[r]))
+        queries += [q] * min(k, len(near))
+        rows += near[:k]
+    return queries, rows
 
-    Both sides as (id, terms), see ``hash_vectors``. Only rows that share a term
-    with the query are ranked.
+
+def search_vectors(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
+    """(query_id, id, score, rank): top ``k`` by cosine over dense vectors.
+
+    Both sides as (id, vector). Scores are rounded to 6 places before they are
+    ranked, which keeps near-ties in the same order on any machine.
     """
-    return top_k(queries, vectors, k, Scorer(CosineTerms, positive_only=True), **limits)
+    spark = vectors.sparkSession
+    folder = f"{new_run_folder(spark, 'query-vectors')}/rows"
+    queries.select("id", "vector").write.parquet(folder)
+    q_type, i_type = queries.schema["id"].dataType, vectors.schema["id"].dataType
+    schema = pa.schema([("query_id", to_arrow_type(q_type)), ("id", to_arrow_type(i_type)), ("score", pa.float64())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = pyarrow.fs.FileSystem.from_uri(folder)
+        asked = pyarrow.dataset.dataset(root, filesystem=files)
+
+        def group(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = pa.Table.from_batches(parts)
+            ids, matrix = held.column("id").to_pylist(), unit(as_matrix(held.column("vector")))
+            for block in asked.to_batches(batch_size=QUERY_ROWS):
+                if block.num_rows:
+                    scores = np.round(matrix @ unit(as_matrix(block.column("vector"))).T, 6)
+                    q, r = best_of_group(scores, ids, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            block.column("id").take(pa.array(q, pa.int64())).cast(schema.field(0).type),
+                            held.column("id").combine_chunks().take(pa.array(r, pa.int64())).cast(schema.field(1).type),
+                            pa.array(scores[r, q]),
+                        ],
+                        schema=schema,
+                    )
+
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= GROUP_ROWS:
+                yield from group(waiting)
+                waiting = []
+        if waiting:
+            yield from group(waiting)
 
+    out = f"query_id {q_type.simpleString()}, id {i_type.simpleString()}, score double"
+    return best(vectors.select("id", "vector").mapInArrow(score, out), k)
 
-def search_vectors(queries: DataFrame, vectors: DataFrame, k: int = 5, **limits) -> DataFrame:
-    """Top ``k`` by cosine over dense vectors: both sides (id, vector)."""
-    return top_k(queries, vectors, k, Scorer(DenseQueries, positive_only=False), **limits)
 
+def cosine(left: Column, right: Column) -> Column:
+    """Cosine of two vectors; 0 where one has no length."""
 
-def search_terms(queries: DataFrame, texts: DataFrame, k: int = 5, **limits) -> DataFrame:
-    """Top ``k`` by sum of term products; with distinct terms on both sides that
-    is the number of query terms a row holds. Both sides as (id, terms)."""
-    return top_k(queries, texts, k, Scorer(TermQueries, positive_only=True), **limits)
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+    length = F.sqrt(dot(left, left)) * F.sqrt(dot(right, right))
+    return F.when(length > 0, dot(left, right) / length).otherwise(F.lit(0.0))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.ranking import last_before
+from folioflow.functions.ranking import STRETCH, last_before, stretches
+from folioflow.functions.text import ordered_text
 
 # The delimiter, and each tool's required arguments.
 DELIMITER = "___"
@@ -82,14 +83,19 @@ def calendar_lookup(
     """(request_id, answer): the events of the date in order, one per line.
 
     ``calendar`` is (keys, position, event). With the owner among the keys a
-    group is one person's day. Only days that are asked for are gathered.
+    group is one person's day. Only days that are asked for are gathered. A day is
+    put in order and joined stretch by stretch, and then the stretches are joined, so
+    no task sorts a busy day; its text is still one cell.
     """
     wanted = requests.select(*keys).distinct()
+    asked = calendar.join(wanted, list(keys), "left_semi").select(*keys, "position", "event")
     days = (
-        calendar.join(wanted, list(keys), "left_semi")
-        .groupBy(*keys)
+        stretches(asked, keys, [F.col("position"), F.col("event")])
+        .groupBy(*keys, STRETCH)
         .agg(F.sort_array(F.collect_list(F.struct("position", "event"))).alias("e"))
-        .select(*keys, F.array_join(F.transform("e", lambda x: x["event"]), "\n").alias("events"))
+        .select(*keys, STRETCH, F.array_join(F.transform("e", lambda x: x["event"]), "\n").alias("part"))
+        .groupBy(*keys)
+        .agg(ordered_text(F.col(STRETCH), F.col("part"), "\n").alias("events"))
     )
     return requests.join(days, list(keys), "left").select(
         "request_id",
@@ -109,18 +115,14 @@ def trace_calls(events: DataFrame, column: str = "props") -> DataFrame:
     )
 
 
-def trace_by_request(
-    trace: DataFrame,
-    requests: DataFrame,
-    keys: tuple[str, ...] = ("user_id",),
-    bucket: Column | None = None,
-) -> DataFrame:
+def trace_by_request(trace: DataFrame, requests: DataFrame, keys: tuple[str, ...] = ("user_id",)) -> DataFrame:
     """Trace lines with the request started last at or before them.
 
     ``trace`` is (keys, ts, line_id), ``requests`` (keys, ts, request_id).
     Lines from before a user's first request drop out. An as-of join as a union
-    and a carried value: no inequality join, and long histories are cut by
-    ``bucket`` (an hour by default).
+    and a carried value: no inequality join. Rows are dealt in even ranges of (keys,
+    time), and one row per user and range carries the last request over, so a user
+    who has nearly all rows is spread over all tasks.
     """
     both = (
         requests.select(*keys, "ts", F.lit(0).alias("kind"), "request_id", F.lit(None).cast(trace.schema["line_id"].dataType).alias("line_id"))
@@ -129,14 +131,8 @@ def trace_by_request(
         )
     )
     order = [F.col("ts"), F.col("kind"), F.coalesce("request_id", "line_id")]
-    joined = last_before(
-        both,
-        keys,
-        order,
-        bucket if bucket is not None else F.date_trunc("hour", "ts"),
-        F.col("request_id"),
-        "current_request",
-    )
+    cut = stretches(both, keys, order)
+    joined = last_before(cut, keys, order, F.col(STRETCH), F.col("request_id"), "current_request")
     return joined.filter((F.col("kind") == 1) & F.col("current_request").isNotNull()).select(
         *keys, "ts", "line_id", F.col("current_request").alias("request_id")
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # AQE does three jobs here: it coalesces small shuffle partitions, turns joins
@@ -58,5 +60,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_run_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; nothing is created yet.
+
+    Results may be read from it as long as this process runs. When it ends in
+    order, the folder is removed, unless ``folioflow.keep.runs`` is true.
+    """
+    if not _RUNS:
+        atexit.register(remove_run_folders)
+    folder = f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if spark.conf.get("folioflow.keep.runs", "false") != "true":
+        _RUNS.append(folder)
+    return folder
+
+
+_RUNS: list[str] = []
+
+
+def remove_run_folders() -> None:
+    """Remove the folders of this process's runs; nothing may read them any more."""
+    context = SparkContext._active_spark_context
+    while context is not None and _RUNS:
+        path = context._jvm.org.apache.hadoop.fs.Path(_RUNS.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

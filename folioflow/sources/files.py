@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +18,8 @@ def read_files(spark: SparkSession, path: str, stream: bool = False, recursive:
     """(path, filename, size, modified, content) of every file, of any type.
 
     Names and sizes come from listing, so a plan that does not use ``content``
-    never opens a file.
+    never opens a file. As a stream, files come once, when they are there; empty
+    files may not come.
     """
     reader = (spark.readStream if stream else spark.read).format("binaryFile")
     if stream:
@@ -31,6 +37,31 @@ def read_files(spark: SparkSession, path: str, stream: bool = False, recursive:
     )
 
 
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """(path) of files written under ``folder`` from (filename, content).
+
+    A file is written beside its place and then moved there, so a reader, or a stream
+    that lists the folder, sees it whole; a task that runs again writes the same file
+    over it. NULL content is an empty file.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = pyarrow.fs.FileSystem.from_uri(folder)
+        drafts = f"{root}/_drafts"
+        system.create_dir(drafts, recursive=True)
+        for batch in batches:
+            paths = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                draft = f"{drafts}/{uuid.uuid4().hex}"
+                with system.open_output_stream(draft, compression=None) as out:
+                    out.write(content.as_buffer() or b"")
+                system.move(draft, f"{root}/{name}")
+                paths.append(f"{root}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], names=["path"])
+
+    return files.select("filename", F.col("content").cast("binary")).mapInArrow(write, "path STRING")
+
+
 def manifest_segments(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segments, errors) from (job_id, manifest_json).
 

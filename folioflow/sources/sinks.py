@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow import schemas
+from folioflow.functions.keys import one_per_key
 from folioflow.functions.text import is_blank
 from folioflow.operators.cache import SCHEMA_TAG, cache_mode
+from folioflow.session import new_run_folder
+from folioflow.sources import ledger
 
 EMPTY_TEXT = "extraction produced no text; nothing to index."
 
 
-def read_or_empty(spark, path: str, schema: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table, or no rows where nothing was written yet."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if ledger.exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def new_cache_entries(documents: DataFrame, cache: DataFrame) -> DataFrame:
@@ -25,12 +29,8 @@ def new_cache_entries(documents: DataFrame, cache: DataFrame) -> DataFrame:
     One per key, the least entry where copies differ; blank texts are skipped.
     """
     entry = F.to_json(F.struct("text", "modality", "extractor", "metadata"))
-    return (
-        documents.filter(~is_blank(F.col("text")))
-        .join(cache.select("cache_key"), "cache_key", "left_anti")
-        .groupBy("cache_key")
-        .agg(F.min(entry).alias("entry"))
-    )
+    entries = documents.filter(~is_blank(F.col("text"))).select("cache_key", entry.alias("entry"))
+    return one_per_key(entries, "cache_key", [F.col("entry")], cache)
 
 
 def cache_store(documents: DataFrame, path: str, mode: str = cache_mode(False)) -> DataFrame:
@@ -76,19 +76,57 @@ def split_publishable(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return published, rejects
 
 
-def publish_documents(documents: DataFrame, path: str) -> DataFrame:
-    """Append publishable rows at ``path`` by modality; returns the rejects.
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of all batches that count."""
+    return ledger.read(spark, path, PUBLISHED).drop("batch")
+
+
+def publish_documents(
+    documents: DataFrame,
+    path: str,
+    batch: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """Publish what is new at ``path``; returns the rejects.
 
-    For a stream, call it from ``foreachBatch``: a batch that is run again
-    finds its rows already there.
+    In two steps. Rows are staged in the batch's own folder, and ``check`` looks at
+    the staged files and raises if they must not be seen. Then the batch's record is
+    put in the ledger, and with it all its rows count. What fails before that leaves
+    the published table as it was; a ``batch`` that counts already is not written
+    again, and one that failed replaces what it had staged.
     """
+    spark = documents.sparkSession
     published, rejects = split_publishable(documents)
-    held = read_or_empty(documents.sparkSession, path, PUBLISHED).select("doc_key")
-    (
-        published.dropDuplicates(["doc_key"])
-        .join(held, "doc_key", "left_anti")
-        .write.mode("append")
-        .partitionBy("source_modality")
-        .parquet(path)
-    )
+    batch = batch or uuid.uuid4().hex
+    if batch in ledger.committed(spark, path):
+        return rejects
+    # Written first, as the rows are looked at more than once and are costly to make.
+    draft = new_run_folder(spark, "publish")
+    published.write.parquet(draft)
+    published = spark.read.schema(PUBLISHED).parquet(draft)
+    order = [F.coalesce(F.col(c), F.lit("")) for c in ("extractor", "source_modality")]
+    fresh = one_per_key(published, "doc_key", order, read_published(spark, path))
+    staged = ledger.batch_folder(path, batch)
+    fresh.write.mode("overwrite").partitionBy("source_modality").parquet(staged)
+    rows = spark.read.schema(PUBLISHED).parquet(staged)
+    if check is not None:
+        try:
+            check(rows)
+        except Exception:
+            ledger.remove(spark, staged)
+            raise
+    ledger.commit(spark, path, batch, rows=rows.count())
     return rejects
+
+
+def publish_each(path: str, name: str, check=None) -> Callable[[DataFrame, int], None]:
+    """What ``foreachBatch`` calls: a batch that is run again leaves one copy.
+
+    ``name`` tells the stream from others that publish at the same path; it stays
+    the same when the stream starts again from its checkpoint.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        publish_documents(batch, path, f"{name}-{number}", check)
+
+    return each
