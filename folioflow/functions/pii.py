@@ -7,12 +7,13 @@ rules are looped over while the plan is built, not joined to rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioflow.functions.plan import bound
+
 # The entities redacted by default, the score floor, and the two
 # number shapes that count as a social security number with their scores.
 DEFAULT_ENTITIES = (
@@ -233,11 +234,6 @@ def pattern_hits(text: Column, pattern: str) -> Column:
     return bound(steps, in_blocks)
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a costly value that is worked out once, wherever it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _shift_blocks(walked: Column) -> Column:
     """Add to every block the length of the blocks before it, then flatten."""
     start = F.expr(

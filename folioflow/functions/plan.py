@@ -28,3 +28,12 @@ def once(df: DataFrame, value: Column, fields: Callable[[Column], dict[str, Colu
     kept = [c for c in df.columns if c not in made]
     order = [*df.columns, *[c for c in made if c not in df.columns]]
     return df.select(*kept, F.inline_outer(rows)).select(*order)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a costly value that is worked out once, wherever it is used.
+
+    For expressions with lambdas, where a value from outside is made anew for each
+    element that looks at it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioflow.functions.plan import bound
+
 # The white space of Unicode, and the four separators that Python's str.strip
 # and str.split also take. Spelled out: a property class is slower to match.
 _WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -72,20 +74,20 @@ def run_lengths(ordered: Column) -> Column:
 
     Linear: one pass finds where runs begin, a second takes the differences.
     """
-    size = F.size(ordered)
-    positions = F.filter(
-        F.transform(
-            ordered,
-            lambda value, i: F.struct(value.alias("term"), i.alias("at")),
-        ),
-        lambda p: (p["at"] == 0) | (p["term"] != F.get(ordered, p["at"] - 1)),
-    )
-    nexts = F.concat(
-        F.transform(F.slice(positions, F.lit(2), F.greatest(F.size(positions), F.lit(1))), lambda p: p["at"]),
-        F.array(size),
-    )
-    return F.zip_with(
-        positions,
-        nexts,
-        lambda p, n: F.struct(p["term"].alias("term"), (n - p["at"]).alias("tf")),
-    )
+
+    def of_values(values: Column) -> Column:
+        begins = F.filter(
+            F.transform(values, lambda value, i: F.struct(value.alias("term"), i.alias("at"))),
+            lambda p: (p["at"] == 0) | (p["term"] != F.get(values, p["at"] - 1)),
+        )
+        return bound(begins, lambda positions: differences(positions, F.size(values)))
+
+    def differences(positions: Column, size: Column) -> Column:
+        later = F.slice(positions, F.lit(2), F.greatest(F.size(positions), F.lit(1)))
+        return F.zip_with(
+            positions,
+            F.concat(F.transform(later, lambda p: p["at"]), F.array(size)),
+            lambda p, n: F.struct(p["term"].alias("term"), (n - p["at"]).alias("tf")),
+        )
+
+    return bound(ordered, of_values)

@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.functions.pii import bound
 from folioflow.functions.plan import once
 from folioflow.functions.text import ordered_text, strip
 from folioflow.operators import search

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.pii import bound
-from folioflow.functions.plan import once
+from folioflow.functions.plan import bound, once
 from folioflow.functions.text import words
 
 # The openings that are nothing but small talk, the shape of a

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from folioflow import schemas
 from folioflow.functions import pii
-from folioflow.functions.plan import once
+from folioflow.functions.plan import bound, once
 
 # Refusals, masks, and the action names of stored assessments.
 BLOCKED_INPUT = "Sorry, I can't help with that request."
@@ -133,7 +133,7 @@ def matched_categories(text: Column, rules: list[tuple[str, str]]) -> Column:
         return F.array_sort(F.array_distinct(F.flatten(F.transform(near, found))))
 
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    return F.coalesce(pii.bound(words, of_words), none)
+    return F.coalesce(bound(words, of_words), none)
 
 
 def _screened(df: DataFrame, rules: DataFrame | None, side: str, refusal: str) -> DataFrame:
