@@ -94,12 +94,12 @@ def spans_sql(name: str, pattern: str, source: str = "documents", key: str = "do
     "read_files",
     """
 SELECT way, 'doc_' || doc_id || '.txt' AS filename, strlen(coalesce(text, '')) AS size, sha256(coalesce(text, '')) AS digest
-FROM documents, (VALUES ('batch'), ('stream')) v(way) WHERE way = 'batch' OR coalesce(text, '') <> ''
+FROM documents, (VALUES ('batch'), ('stream')) v(way) WHERE coalesce(text, '') <> ''
 """,
 )
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as a file of its own, read both ways; the stream runs twice,
-    and the second time there is nothing new for it. Empty files do not arrive."""
+    and the second time there is nothing new for it. Spark reads no rows of empty files."""
     uploads = new_run_folder(spark, "uploads")
     named = inputs.documents(spark, folder).select(
         F.concat(F.lit("doc_"), F.col("doc_key").cast("string"), F.lit(".txt")).alias("filename"),
@@ -109,7 +109,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     told = [F.col("filename"), F.col("size"), F.sha2("content", 256).alias("digest")]
     arrived, state = new_run_folder(spark, "arrived"), new_run_folder(spark, "state")
     for _ in range(2):
-        arriving = file_source.read_files(spark, uploads, stream=True).filter("size > 0").select(*told)
+        arriving = file_source.read_files(spark, uploads, stream=True).select(*told)
         streams.run_available(arriving, state, lambda rows, _: rows.write.mode("append").parquet(arrived))
     at_once = file_source.read_files(spark, uploads).select(F.lit("batch").alias("way"), *told)
     return at_once.unionByName(spark.read.parquet(arrived).withColumn("way", F.lit("stream")))

@@ -15,11 +15,11 @@ from folioflow.functions.text import last_part
 
 
 def read_files(spark: SparkSession, path: str, stream: bool = False, recursive: bool = True) -> DataFrame:
-    """(path, filename, size, modified, content) of every file, of any type.
+    """(path, filename, size, modified, content) of every file, of any type and not empty.
 
     Names and sizes come from listing, so a plan that does not use ``content``
-    never opens a file. As a stream, files come once, when they are there; empty
-    files may not come.
+    never opens a file. As a stream, files come once, when they are there. Spark
+    plans no work for empty files, so they give no row.
     """
     reader = (spark.readStream if stream else spark.read).format("binaryFile")
     if stream:
