@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from folioflow.functions.text import run_lengths
 from folioflow.session import new_run_folder
 
 #: Rows and queries whose products are held at a time.
@@ -42,14 +41,20 @@ def best(scored: DataFrame, k: int) -> DataFrame:
 
 
 def postings(rows: DataFrame) -> DataFrame:
-    """(id, norm2, term, tf) of (id, terms): a row for each distinct term of a row."""
-    runs = rows.select("id", run_lengths(F.sort_array("terms")).alias("_runs"))
-    norm2 = F.aggregate("_runs", F.lit(0).cast("bigint"), lambda total, r: total + (r["tf"] * r["tf"]).cast("bigint"))
-    return (
-        runs.select("id", norm2.alias("norm2"), F.explode_outer("_runs").alias("r"))
-        .filter(F.col("r").isNotNull())
-        .select("id", "norm2", "r.term", F.col("r.tf").cast("bigint").alias("tf"))
+    """(id, norm2, term, tf) of (id, terms): a row for each distinct term of a row.
+
+    Terms are still an array when rows are dealt by id, which is less to shuffle than
+    postings are; what is counted and summed by id then needs no other exchange.
+    """
+    counted = (
+        rows.select("id", "terms")
+        .repartition("id")
+        .select("id", F.explode("terms").alias("term"))
+        .groupBy("id", "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
+    norm2 = F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy("id"))
+    return counted.select("id", norm2.alias("norm2"), "term", "tf")
 
 
 def matched_terms(queries: DataFrame, rows: DataFrame) -> DataFrame:
@@ -64,10 +69,9 @@ def matched_terms(queries: DataFrame, rows: DataFrame) -> DataFrame:
     )
     asked.write.parquet(folder)
     asked = spark.read.schema(asked.schema).parquet(folder)
-    # Terms are still an array here, which is less to shuffle than postings are.
-    held = postings(rows.select("id", "terms").repartition("id"))
     return (
-        held.join(asked, "term")
+        postings(rows)
+        .join(asked, "term")
         .groupBy("id", "query_id", "norm2", "query_norm2")
         .agg(F.sum(F.col("tf") * F.col("query_tf")).alias("dot"))
     )
