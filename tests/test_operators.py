@@ -117,6 +117,19 @@ def test_names_of_any_number_of_words(spark, monkeypatch):
     assert redact.redact_person_names(docs, listed.filter("name = '--'")).count() == 0
 
 
+def test_audit_counts_with_subtotals(spark):
+    rows = [(1, "mail a@b.example.com, a@c.example.com", "bda", "en"), (2, "mail a@b.example.com", "bda", None), (3, "card 4111 1111 1111 1112", "vision", "en"), (4, None, "vision", "en")]
+    done = redact.redact_text(spark.createDataFrame(rows, "doc_key int, text string, extractor string, lang string"))
+    got = sorted((tuple(r) for r in redact.redaction_audit(done).collect()), key=str)
+    mail, card = "EMAIL_ADDRESS", "CARD_SHAPE_ONLY"
+    wanted = [
+        (None, None, None, 4, 3),
+        (mail, None, None, 3, 2), (mail, "bda", None, 3, 2), (mail, "bda", "en", 2, 1), (mail, "bda", None, 1, 1),
+        (card, None, None, 1, 1), (card, "vision", None, 1, 1), (card, "vision", "en", 1, 1),
+    ]
+    assert got == sorted(wanted, key=str)
+
+
 def test_off_switch(spark):
     docs = spark.createDataFrame([("a", LETTER)], "doc_key string, text string")
     row = redact.redact_text(docs, RedactionSettings.from_options("OFF")).first()
