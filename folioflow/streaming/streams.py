@@ -314,9 +314,13 @@ def stream_last_k(turns: DataFrame, k: int = LAST_K) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stream of one Parquet table's files in a folder of several tables."""
+    """A stream of one Parquet table in a folder of several tables.
+
+    A table is a file or a folder of files. The path is a pattern, as a stream takes
+    no single file by its plain path.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}*.parquet")
 
 
 def in_waves(waves: list[DataFrame], work: Callable[[DataFrame], None]) -> None:

@@ -163,6 +163,20 @@ def test_files_are_read_once_by_a_stream(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, at_once.collect())) == wanted
 
 
+def test_a_table_is_streamed_from_a_file_or_a_folder(spark, tmp_path):
+    turns = spark.createDataFrame([(i % 7, i, "user", f"t{i}") for i in range(60)], "session_id bigint, seq bigint, role string, text string")
+    turns.repartition(4).write.parquet(f"{tmp_path}/many/said.parquet")
+    turns.coalesce(1).write.parquet(f"{tmp_path}/one-file")
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "one-file").glob("part-*")).rename(tmp_path / "one" / "said.parquet")
+    wanted = sorted((str(r.session_id), r.position, r.text) for r in memory.last_k_turns(turns, 2).collect())
+    for kind in ("many", "one"):
+        turns.write.parquet(f"{tmp_path}/{kind}/other.parquet")
+        arriving, out = streams.table_stream(spark, f"{tmp_path}/{kind}", "said"), f"{tmp_path}/{kind}-out"
+        streams.run_available(streams.stream_last_k(arriving, 2), f"{tmp_path}/{kind}-state", lambda b, _: b.write.mode("append").parquet(out), "update")
+        assert sorted((r.session_id, r.position, r.text) for r in spark.read.parquet(out).collect()) == wanted
+
+
 def test_a_user_with_nearly_all_rows_is_spread(spark):
     rows = [("hot", i, i) for i in range(9_500)] + [(f"u{i % 50}", i, 10_000 + i) for i in range(500)]
     df = spark.createDataFrame(rows, "user_id string, s bigint, n bigint").select("user_id", F.timestamp_seconds("s").alias("ts"), "n")
