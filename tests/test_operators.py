@@ -4,6 +4,8 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,6 +250,48 @@ def test_term_search_equals_brute_force(spark):
     assert got == want
 
 
+def test_term_search_adds_up_rows_of_one_id(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(60)]) if i % 3 else 100 + i, [rng.choice([*"abcdefghijkl", None]) for _ in range(rng.randrange(9))]) for i in range(200)]
+    texts = spark.createDataFrame([*rows, (7, None)], "id int, terms array<string>")
+    asked = texts.filter("id % 5 = 0 or id is null")
+    summed = {}
+    for i, terms in rows:
+        summed.setdefault(i, Counter()).update(terms)
+    order = lambda i: (i is not None, i or 0)
+    want = set()
+    for q in [i for i in summed if i is None or i % 5 == 0]:
+        a, scored = summed[q], []
+        for i, b in summed.items():
+            dot = sum(a[t] * b[t] for t in a if t)
+            if dot:
+                scored.append((-dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())), order(i), i))
+        want |= {(q, i, n, round(-s, 9)) for n, (s, _, i) in enumerate(sorted(scored)[:4], 1)}
+    for rows_at_once, terms_at_once in ((8_192, 1_000_000), (7, 9), (50, 100)):
+        monkeypatch.setattr(search, "TERM_ROWS", rows_at_once)
+        monkeypatch.setattr(search, "QUERY_ROWS", rows_at_once)
+        monkeypatch.setattr(search, "TERMS_AT_ONCE", terms_at_once)
+        got = search.search_hashed(asked, texts, 4).collect()
+        assert {(r.query_id, r.id, r["rank"], round(r.score, 9)) for r in got} == want
+
+
+def test_products_are_added_up_in_parts(monkeypatch):
+    rng = np.random.default_rng(9)
+    counts = rng.integers(0, 3, (40, 15))
+    rows = [{"id": i, "terms": np.repeat(np.arange(15), own).tolist(), "tfs": None} for i, own in enumerate(counts)]
+    table = pa.Table.from_pylist(rows, pa.schema([("id", pa.int64()), ("terms", pa.list_(pa.int32())), ("tfs", pa.list_(pa.int64()))]))
+    asked = search.Postings(table.slice(0, 9)).by_term()
+    for products in (4_000_000, 200, 7, 1):
+        monkeypatch.setattr(search, "PRODUCTS", products)
+        assert (search.Postings(table).dots(asked) == counts[:9] @ counts.T).all()
+
+
+def test_terms_and_products_are_not_shuffled(spark):
+    vectors = spark.createDataFrame([(i, [i % 5, i % 7]) for i in range(100)], "id int, terms array<int>")
+    plan = search.search_hashed(vectors, vectors, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and "Aggregate" not in plan
+
+
 def test_vector_search_by_groups_and_blocks(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(f"v{i:03}", [float(rng.randrange(-2, 3)) for _ in range(4)]) for i in range(120)]
