@@ -163,6 +163,23 @@ def test_files_are_read_once_by_a_stream(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, at_once.collect())) == wanted
 
 
+def test_files_are_listed_by_tasks(spark, tmp_path):
+    up = tmp_path / "up"
+    for name in ("a.txt", "b c.txt", "d/e/f.pdf", "d/.g", "_h/i.txt", "d/k=1/j%20.txt", "_l=2/m.txt", "n._COPYING_", "empty"):
+        (up / name).parent.mkdir(parents=True, exist_ok=True)
+        (up / name).write_bytes(b"" if name == "empty" else name.encode() * 3)
+    wanted = sorted(map(tuple, files._listed_by_driver(spark, str(up), False, True).collect()))
+    rows = files.read_files(spark, str(up))
+    assert sorted(map(tuple, rows.collect())) == wanted and len(wanted) == 5
+    assert "FileScan" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in rows.select("filename", "size")._jdf.queryExecution().optimizedPlan().toString()
+    arriving = files.read_files(spark, str(up), stream=True)
+    streams.run_available(arriving, f"{tmp_path}/state", lambda b, _: b.write.mode("append").parquet(f"{tmp_path}/out"))
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == wanted
+    assert [r.filename for r in files.read_files(spark, f"{up}/a.txt").collect()] == ["a.txt"]
+    assert sorted(r.filename for r in files.read_files(spark, f"{up}/*.txt").collect()) == ["a.txt", "b c.txt"]
+
+
 def test_a_table_is_streamed_from_a_file_or_a_folder(spark, tmp_path):
     turns = spark.createDataFrame([(i % 7, i, "user", f"t{i}") for i in range(60)], "session_id bigint, seq bigint, role string, text string")
     turns.repartition(4).write.parquet(f"{tmp_path}/many/said.parquet")
