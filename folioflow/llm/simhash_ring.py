@@ -51,6 +51,7 @@ BITS = 64
 HASHES_AT_ONCE = 1 << 16
 MIDDLES_AT_ONCE = 1 << 20
 KIND_SHIFT = 48  # a key's kind stands above its bits
+BROADCAST_KEYS = 1_000_000  # keys of 16 bytes that go to every task at most
 
 
 @dataclass(frozen=True)
@@ -395,8 +396,8 @@ def text_keys() -> dict[str, Column]:
 def drop_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents, all columns: of each component one row, as ``judged_texts`` says.
 
-    What goes is a table of hashes. Texts meet it without being shuffled where it is
-    small enough to broadcast, and are shuffled once where it is not. Of rows of one
+    What goes is a table of hashes, which is counted. Texts meet it without being
+    shuffled up to ``BROADCAST_KEYS`` rows, and are shuffled once beyond. Of rows of one
     id and text that stays one is kept; only those are brought together.
     """
     spark = docs.sparkSession
@@ -408,7 +409,8 @@ def drop_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     tables = []
     for kind, test in (("gone", ~F.col("stays") | (F.col("n") > 1)), ("repeated", F.col("stays") & (F.col("n") > 1))):
         judged.filter(test).select(*[F.col(a).alias(b) for a, b in names.items()]).write.parquet(f"{folder}/{kind}")
-        tables.append(spark.read.schema(f"`{names['_k']}` BIGINT, `{names['_i']}` BIGINT").parquet(f"{folder}/{kind}"))
+        keys = spark.read.schema(f"`{names['_k']}` BIGINT, `{names['_i']}` BIGINT").parquet(f"{folder}/{kind}")
+        tables.append(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys)
     gone, repeated = tables
     on = list(names.values())
     single = keyed.join(gone, on, "left_anti")

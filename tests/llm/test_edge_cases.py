@@ -256,6 +256,24 @@ def test_near_copies_keep_one_row(spark):
     assert sorted((r["doc_id"], r["text"] or "") for r in kept) == sorted([(5, text), (7, words(5, 60)), (7, words(6, 60)), (8, "")])
 
 
+def test_texts_are_not_shuffled_for_few_near_copies(spark, monkeypatch):
+    rows = [(i, words(i // 2 if i < 20 else i, 30)) for i in range(60)] + [(3, words(1, 30)), (50, words(50, 30))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = simhash_ring.drop_near_copies(docs)
+        joins = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in joins and "SortMergeJoin" not in joins
+        got = sorted(map(tuple, kept.collect()))
+        monkeypatch.setattr(simhash_ring, "BROADCAST_KEYS", 0)
+        kept = simhash_ring.drop_near_copies(docs)
+        assert "SortMergeJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, kept.collect())) == got and [i for i, _ in got] == [*range(0, 20, 2), *range(20, 60)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_quality_counts_equal_sql(spark):
     rows = queries.op8_quality_bands(spark, SMALL).collect()
     wanted = duckdb.sql(rf"""
