@@ -128,18 +128,25 @@ class WordTrie:
         numbers: list[int] = [-1]
         began: list[int] = [0]
         stack = [("", iter(root.items()))]
+        lengths, tokens, reach = self.lengths.get, self.tokens, self.reach
+        kept, keeps = self.vocabulary.kept.get, self.vocabulary.keeps
         while stack:
             path, rest = stack[-1]
-            depth = len(stack)
+            depth, size_here, before = len(stack), len(path) + 1, path[-1:]
             for symbol, child in rest:
                 tail = path + symbol
                 token, size = symbol, 1
                 if depth > 1:
-                    for length in self.lengths.get(path[-1] + symbol, ()):
+                    for length in lengths(before + symbol, ()):
                         if length > depth:
                             continue
-                        longer = tail[len(path) + 1 - length :]
-                        if longer in self.tokens and (length == depth or self._keeps(last[depth - length], longer)):
+                        longer = tail[size_here - length :]
+                        if longer in tokens:
+                            if length < depth:
+                                pair = (last[depth - length], longer)
+                                ok = kept(pair)
+                                if not (keeps(*pair) if ok is None else ok):
+                                    continue
                             token, size = longer, length
                             break
                 if child.__class__ is str:
@@ -153,7 +160,7 @@ class WordTrie:
                 last.append(token)
                 numbers.append(ids[token])
                 began.append(depth - size)
-                stack.append((tail[-self.reach :], iter(child.items())))
+                stack.append((tail[-reach:], iter(child.items())))
                 break
             else:
                 stack.pop()
@@ -162,10 +169,6 @@ class WordTrie:
                 began.pop()
         return found
 
-    def _keeps(self, left: str, right: str) -> bool:
-        known = self.vocabulary.kept.get((left, right))
-        return self.vocabulary.keeps(left, right) if known is None else known
-
     def _is_whole(self, token: str) -> bool:
         """Whether the merges make the token of its own symbols."""
         if token not in self.whole:
