@@ -1,7 +1,7 @@
 """BPE encoding over a trie of distinct words, and decoding of the ids.
 
 Words that a task has not met are put into a trie, symbol by symbol. A walk
-through it, depth first, gives each node the last token of its prefix: the
+through it, in the order of the words, gives each node the last token of its prefix: the
 longest vocabulary entry that ends there and that the merges leave beside the
 last token of what precedes it. The encoding of a prefix is the encoding of the
 rest plus that token, so a prefix that many words share is worked out once. A
@@ -22,8 +22,10 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -31,6 +33,7 @@ from tokenizers import Tokenizer
 from folioflow.llm.batches import measure
 
 # Texts of these characters are normalised and split here; others by the library.
+# The blanks among them end every word.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u024f\u2010-\u201f\u2026\u20ac]*")
 KNOWN_WORDS = 500_000
 KNOWN_CHARS = 64_000_000  # of words, their ids and their decoded texts
@@ -41,6 +44,8 @@ KNOWN_PAIRS = 300_000
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 TO_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 FROM_BYTES = {c: b for b, c in TO_BYTES.items()}
+# (size, id) of the tokens that may end at a place, longest first.
+Ending = tuple[tuple[int, int], ...]
 MEASURED = "n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING"
 
 
@@ -58,7 +63,6 @@ class Vocabulary:
             whole = a + b
             if whole not in self.halves or self.ranks[a, b] < self.ranks[self.halves[whole]]:
                 self.halves[whole] = (a, b)
-        self.kept: dict[tuple[str, str], bool] = {}
 
     def length(self, token: str) -> int:
         """Symbols of a token; the end mark belongs to its last symbol."""
@@ -71,103 +75,134 @@ class Vocabulary:
         The two tokens' merges are undone, latest first; at no stage may a merge
         over the seam come before the merge that was undone.
         """
-        a, b, limit, ok = left, right, below, True
+        a, b, limit = left, right, below
         while True:
             rank = self.ranks.get((a, b))
             if rank is not None and rank < limit:
-                ok = False
-                break
+                return False
             made_a = self.ranks[self.halves[a]] if a in self.halves else -1
             made_b = self.ranks[self.halves[b]] if b in self.halves else -1
             if made_a < 0 and made_b < 0:
-                break
+                return True
             if made_a > made_b:
                 limit, a = made_a, self.halves[a][1]
             else:  # of equal merges the left one comes first, and so the seam's
                 limit, b = made_b + 1, self.halves[b][0]
-        if below == 1 << 60:
-            if len(self.kept) > KNOWN_PAIRS:
-                self.kept.clear()
-            self.kept[left, right] = ok
-        return ok
 
 
 class WordTrie:
-    """Encodings of words, made together by one walk over their trie."""
+    """Encodings of words, made together by one walk over their trie.
+
+    Beside the last token, a node has the longest end of its prefix with which a
+    token begins. One look-up leads from there over a symbol, and gives the tokens
+    that end in that symbol, so none is tried that does not stand there.
+    """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.whole: dict[str, bool] = {}
-        # Lengths, longest first, of the tokens that end in two given symbols.
-        self.lengths: dict[str, list[int]] = {}
-        for token in vocabulary.ids:
+        self.tokens: dict[str, int] = {}
+        self.texts = {i: t for t, i in vocabulary.ids.items()}
+        # Beginnings of tokens, by number; the first is empty.
+        self.begins: dict[str, int] = {"": 0}
+        for token, number in vocabulary.ids.items():
             size = vocabulary.length(token)
             if size > 1 and token in vocabulary.halves and self._is_whole(token):
-                own = self.lengths.setdefault(token[size - 2 :], [])
-                if size not in own:
-                    own.append(size)
-        for own in self.lengths.values():
-            own.sort(reverse=True)
-        self.tokens = {t for t, whole in self.whole.items() if whole and t in vocabulary.ids}
-        # As much of what precedes a symbol as a token over it can hold.
-        self.reach = max([2, *(n for own in self.lengths.values() for n in own)]) - 1
-
-    def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of each distinct word of byte characters."""
-        end, ids = self.vocabulary.end, self.vocabulary.ids
-        root: dict = {}
-        for word in words:
-            node = root
-            for symbol in word[:-1]:
-                node = node.setdefault(symbol, {})
-            node[word[-1] + end] = word  # a leaf: the mark sets it apart from inner nodes
-        found: dict[str, list[int]] = {}
-        # States by depth: last token's text, its id, and the depth it began at.
-        # The ids of a prefix are read back over these links, at leaves only.
-        last: list[str] = [""]
+                self.tokens[token] = number
+                for stop in range(size if len(token) == size else size - 1, 0, -1):
+                    if token[:stop] in self.begins:  # and so are those before it
+                        break
+                    self.begins[token[:stop]] = len(self.begins)
+        self.names = list(self.begins)
+        self._forget()
+        self.kept: dict[int, bool] = {}
+        self.many = max(vocabulary.ids.values(), default=0) + 1
+
+    def _forget(self) -> None:
+        """Drops the steps that were kept."""
+        self.steps: list[dict[str, tuple[int, Ending]]] = [{} for _ in self.begins]
+        self.leaves: list[dict[str, Ending]] = [{} for _ in self.begins]
+        self.held = 0
+
+    def _ending(self, tail: str, mark: str) -> Ending:
+        """(size, id) of the tokens at the end of ``tail``, longest first."""
+        size = len(tail)
+        own = [(size - at, self.tokens[tail[at:] + mark]) for at in range(size - 1) if tail[at:] + mark in self.tokens]
+        return (*own, (1, self.vocabulary.ids[tail[-1] + mark]))
+
+    def _step(self, begin: int, symbol: str) -> tuple[int, Ending]:
+        tail = longest = self.names[begin] + symbol
+        while longest not in self.begins:
+            longest = longest[1:]
+        self.held += 1
+        self.steps[begin][symbol] = made = (self.begins[longest], self._ending(tail, ""))
+        return made
+
+    def _leaf(self, begin: int, symbol: str) -> Ending:
+        self.held += 1
+        self.leaves[begin][symbol] = made = self._ending(self.names[begin] + symbol, self.vocabulary.end)
+        return made
+
+    def _keeps(self, pair: int) -> bool:
+        if len(self.kept) > KNOWN_PAIRS:
+            self.kept.clear()
+        left, right = divmod(pair, self.many)
+        self.kept[pair] = ok = self.vocabulary.keeps(self.texts[left], self.texts[right])
+        return ok
+
+    def encode(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """Ids of each distinct word of byte characters.
+
+        In their order the words are the leaves of a walk through the trie, depth
+        first: what a word shares with the one before it is the path that stays.
+        """
+        if self.held > KNOWN_PAIRS:
+            self._forget()
+        # States by depth: the last token's id, the depth it began at, and the end
+        # that begins a token. The ids of a prefix are read back at leaves only.
         numbers: list[int] = [-1]
         began: list[int] = [0]
-        stack = [("", iter(root.items()))]
-        lengths, tokens, reach = self.lengths.get, self.tokens, self.reach
-        kept, keeps = self.vocabulary.kept.get, self.vocabulary.keeps
-        while stack:
-            path, rest = stack[-1]
-            depth, size_here, before = len(stack), len(path) + 1, path[-1:]
-            for symbol, child in rest:
-                tail = path + symbol
-                token, size = symbol, 1
-                if depth > 1:
-                    for length in lengths(before + symbol, ()):
-                        if length > depth:
-                            continue
-                        longer = tail[size_here - length :]
-                        if longer in tokens:
-                            if length < depth:
-                                pair = (last[depth - length], longer)
-                                ok = kept(pair)
-                                if not (keeps(*pair) if ok is None else ok):
-                                    continue
-                            token, size = longer, length
-                            break
-                if child.__class__ is str:
-                    coded, at = [ids[token]], depth - size
-                    while at:
-                        coded.append(numbers[at])
-                        at = began[at]
-                    coded.reverse()
-                    found[child] = coded
-                    continue
-                last.append(token)
-                numbers.append(ids[token])
+        states: list[int] = [0]
+        steps, leaves, kept, many = self.steps, self.leaves, self.kept.get, self.many
+        previous = ""
+        for word in sorted(words):
+            depth = 1
+            for a, b in zip(previous, word):
+                if a != b:
+                    break
+                depth += 1
+            # The last symbol of a word is a leaf, and on no other path.
+            depth = min(depth, len(previous)) or 1
+            previous = word
+            del numbers[depth:], began[depth:], states[depth:]
+            state = states[-1]
+            for symbol in word[depth - 1 : -1]:
+                state, ending = steps[state].get(symbol) or self._step(state, symbol)
+                for size, number in ending:
+                    if size == 1 or size == depth:
+                        break
+                    pair = numbers[depth - size] * many + number
+                    ok = kept(pair)
+                    if self._keeps(pair) if ok is None else ok:
+                        break
+                numbers.append(number)
                 began.append(depth - size)
-                stack.append((tail[-reach:], iter(child.items())))
-                break
-            else:
-                stack.pop()
-                last.pop()
-                numbers.pop()
-                began.pop()
-        return found
+                states.append(state)
+                depth += 1
+            symbol = word[-1]
+            for size, number in leaves[state].get(symbol) or self._leaf(state, symbol):
+                if size == 1 or size == depth:
+                    break
+                pair = numbers[depth - size] * many + number
+                ok = kept(pair)
+                if self._keeps(pair) if ok is None else ok:
+                    break
+            coded, at = [number], depth - size
+            while at:
+                coded.append(numbers[at])
+                at = began[at]
+            coded.reverse()
+            yield word, coded
 
     def _is_whole(self, token: str) -> bool:
         """Whether the merges make the token of its own symbols."""
@@ -195,21 +230,27 @@ class Codec:
         self.tokens = {i: t for t, i in {**self.vocabulary.ids, **self.specials}.items()}
         steps = content["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.bytes = {i: t.encode() for i, t in self.tokens.items()}
+        # By word: ids and decoded text.
+        self.always = {c: (struct.pack("<I", i), c.encode()) for c, i in self.specials.items()}
+        self.always[""] = b"", b""  # a text without words
+        self.known: dict[str, tuple[bytes, bytes]] = dict(self.always)
         self.held = 0
-        for content, number in self.specials.items():
-            self.known[content] = (struct.pack("<I", number), content)
-
-    def _words(self, text: str) -> list[str]:
-        """The words of a text, and special tokens as they stand in it."""
-        if "<|" not in text:
-            return self._plain_words(text)
-        words: list[str] = []
-        for part in self.split.split(text):
-            words += [part] if part in self.specials else self._plain_words(part)
-        return words
-
-    def _plain_words(self, text: str) -> list[str]:
+        self.by_library: set[str] = set()  # words that the library has cut
+
+    def _clean(self, text: str) -> str:
+        """The text in stretches between blanks, each of whole words; special tokens
+        are stretches of their own, as they stand in the text."""
+        if "<|" in text:
+            parts = self.split.split(text)
+            return " ".join([w for p in parts for w in ([p] if p in self.specials else self._cut(p))])
+        if not COMMON.fullmatch(text):
+            return " ".join(self._cut(text))
+        if text.isascii():
+            return text.lower().strip()
+        return unicodedata.normalize("NFC", text).lower().replace("\xa0", " ").strip()
+
+    def _cut(self, text: str) -> list[str]:
         if text.isascii():
             clean = text.lower()
         elif COMMON.fullmatch(text):
@@ -217,17 +258,26 @@ class Codec:
         else:
             clean = self.library.normalizer.normalize_str(text)
             back = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(clean)]
-            return [w.translate(FROM_BYTES).encode("latin-1").decode() for w in back]
+            words = [w.translate(FROM_BYTES).encode("latin-1").decode() for w in back]
+            self.by_library.update(words)
+            return words
         return self.pattern.findall(clean)
 
-    def _learn(self, words: set[str]) -> None:
-        """Encodes the words that are not known, in one trie."""
-        as_bytes = {w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(TO_BYTES): w for w in words}
-        gc.disable()  # a trie is many small dicts without cycles
+    def _learn(self, stretches: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Encodes the words that are not known, in one trie; what stretches of
+        several words make up, which is not kept."""
+        find, whole, known, texts = self.pattern.findall, self.by_library, self.known, self.bytes
+        gc.disable()  # many small objects without cycles
         try:
-            for coded, ids in self.trie.encode(as_bytes).items():
-                self.known[as_bytes[coded]] = made = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids))
-                self.held += len(coded) + len(made[0]) + len(made[1])
+            cut = {s: found for s in stretches if not (s.isalpha() or s in whole) and (found := find(s)) != [s]}
+            words = stretches.difference(cut).union(*cut.values()).difference(known)
+            whole.clear()
+            as_bytes = {w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(TO_BYTES): w for w in words}
+            for coded, ids in self.trie.encode(as_bytes):
+                known[as_bytes[coded]] = a, b = struct.pack(f"<{len(ids)}I", *ids), b" ".join([texts[i] for i in ids])
+                self.held += len(coded) + len(a) + len(b)
+            made = {s: [known[w] for w in parts] for s, parts in cut.items()}
+            return {s: (b"".join([m[0] for m in own]), b" ".join([m[1] for m in own])) for s, own in made.items()}
         finally:
             gc.enable()
 
@@ -236,20 +286,27 @@ class Codec:
         return " ".join([self.tokens[i] for i in ids])
 
     def __call__(self, texts: list[bytes | None]) -> dict[str, list]:
-        out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        cut = [self._words(t.decode("utf-8", "replace")) if t else [] for t in texts]
+        clean = [self._clean(t.decode("utf-8", "replace")) if t else "" for t in texts]
+        stretches = pc.ascii_split_whitespace(pa.array(clean, pa.large_string()))
+        coded = stretches.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.known) > KNOWN_WORDS or self.held > KNOWN_CHARS:
-            self.known = {c: self.known[c] for c in self.specials}
+            self.known = dict(self.always)
             self.held = 0
-        self._learn(set().union(*cut).difference(self.known))
-        for words in cut:
-            coded = [self.known[w] for w in words]
-            ids = b"".join([c[0] for c in coded])
-            text = " ".join([c[1] for c in coded])
-            out["n_tokens"].append(len(ids) // 4)
-            out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
-        return out
+        several = self._learn(set(distinct).difference(self.known))
+        made = [several[s] if s in several else self.known[s] for s in distinct]
+
+        def joined(place: int, between: bytes) -> list[bytes]:
+            parts = pa.array([m[place] for m in made], pa.large_binary()).take(coded.indices)
+            lists = pa.LargeListArray.from_arrays(stretches.offsets.cast(pa.int64()), parts)
+            return pc.binary_join(lists, pa.scalar(between, pa.large_binary())).to_pylist()
+
+        ids = joined(0, b"")
+        return {
+            "n_tokens": [len(i) // 4 for i in ids],
+            "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
+            "decoded_sha256": [hashlib.sha256(t).hexdigest() for t in joined(1, b" ")],
+        }
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:

@@ -352,6 +352,43 @@ def test_bpe_trie_of_one_long_word():
         assert got["decoded_sha256"] == [hashlib.sha256(decoded.encode()).hexdigest()]
 
 
+def test_bpe_trie_tries_only_tokens_that_end_at_a_symbol():
+    class Counted(dict):
+        asked = 0
+
+        def __contains__(self, key):
+            Counted.asked += 1
+            return super().__contains__(key)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    codec, library = bpe_trie.Codec(path), Tokenizer.from_file(path)
+    codec.trie.tokens = Counted({t: codec.vocabulary.ids[t] for t in codec.trie.tokens})
+    letters = random.Random(9)
+    syllables = ["the", "ing", "tion", "er", "st", "an", "on", "\u00e9", "ou", "ment"]
+    texts = [" ".join("".join(letters.choices(syllables, k=5)) for _ in range(2_000)) for _ in range(3)]
+    for text in texts:
+        Counted.asked = 0
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert codec([text.encode()])["ids_sha256"] == [hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()]
+    assert Counted.asked < len(texts[-1]) / 4  # the steps are known by now
+
+
+def test_bpe_trie_cuts_at_blanks_as_the_library_does():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = [" a\xa0b\tc d\xa0", "don't 's's  x'll\r\nIt'S", "a\x1cb\x0bc\x0cd\x85e\x1f", "\xc9\xa0\u0130\xe9, 'RE", "   ", "\xa0"]
+    texts += ["a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|><|", "\u2003\u3000x\u0301 \u4e2d!\U0001f600y\u200b", "", "!!a1.2b\x00c"]
+    codec = bpe_trie.Codec(path)
+    for _ in range(2):
+        got = codec([t.encode() for t in texts])
+        for at, text in enumerate(texts):
+            ids = library.encode(text, add_special_tokens=False).ids
+            decoded = library.decode(ids, skip_special_tokens=False)
+            assert got["n_tokens"][at] == len(ids), text
+            assert got["ids_sha256"][at] == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), text
+            assert got["decoded_sha256"][at] == hashlib.sha256(decoded.encode()).hexdigest(), text
+
+
 def test_bpe_trie_forgets_words_over_its_bound(monkeypatch):
     monkeypatch.setattr(bpe_trie, "KNOWN_WORDS", 5)
     codec = bpe_trie.Codec(public_tokenizers.path("word_bpe_49k.json"))
