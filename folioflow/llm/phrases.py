@@ -70,11 +70,31 @@ LONG = 1_000
 BLOCK = 4_000_000
 KNOWN = 400_000
 PLACES = 2_000_000
+#: Rows of the dictionary that are cut into words at a time.
+CHUNKS = 60_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Between language and text in a key; no word holds it.
 BAR = b"\t"
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in fewer batches, of CHUNKS rows or BLOCK bytes, and a batch more, at most."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= CHUNKS or sum(b.nbytes for b in held) >= BLOCK:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
+def distinct(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words, and the place among them of each word."""
+    coded = words.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def blocks_of(text: bytes) -> Iterator[list[bytes]]:
     """The words of a text in lower case, and a STOP for what ends a piece.
 
@@ -336,10 +356,12 @@ class Places:
         """(key, n) of the distinct phrases."""
         if self.held:
             rows, weights = np.concatenate(self.rows, axis=1).astype(np.int64), np.concatenate(self.weights)
-            codes = rows[0]
+            codes, many, most = rows[0], len(self.words.texts), len(self.words.texts)
             for more in rows[1:]:
-                codes = np.unique(codes, return_inverse=True)[1] * len(self.words.texts) + more
-            order = np.argsort(codes, kind="stable")
+                if most * many >= 1 << 63:
+                    codes, most = np.unique(codes, return_inverse=True)[1], len(codes)
+                codes, most = codes * many + more, most * many
+            order = np.argsort(codes)
             codes = codes[order]
             begins = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
             sums, firsts = np.add.reduceat(weights[order], begins), order[begins]
@@ -363,22 +385,23 @@ def count_phrases(dictionary: DataFrame, size: int, frequent: Broadcast | None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may_be = None if frequent is None else Filter(frequent.value, settings.filter_bits)
         by_lang: dict[str, Places] = {}
-        for part in slices(batches, rows=20_000):
-            chunks: dict[str, tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
-            for lang, raw, n in zip(part.column(0).to_pylist(), raw_texts(part.column(1)), part.column(2).to_pylist()):
-                chunks[lang][0].append(raw)
-                chunks[lang][1].append(n)
-            for lang, (texts, counts) in chunks.items():
-                places = by_lang.setdefault(lang, Places(lang))
-                # All chunks in one row, each a digit, its words and a STOP.
-                numbers = places.words.numbers(b" . ".join([*texts, b""]).split())
-                ends = np.flatnonzero(numbers == 0)
-                begins = np.append(0, ends[:-1] + 1)
+        for part in gathered(slices(batches, rows=CHUNKS)):
+            langs = part.column(0).dictionary_encode()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                places = by_lang[lang] if lang in by_lang else by_lang.setdefault(lang, Places(lang))
+                mine = pc.equal(langs.indices, code)
+                # All chunks in one row, each a digit and its words.
+                lists = pc.split_pattern(part.column(1).filter(mine).cast(pa.large_binary()), b" ")
+                words, at = distinct(lists.flatten())
+                numbers = places.words.numbers(words.to_pylist())[at]
+                counts = part.column(2).filter(mine).to_numpy()
+                offsets = lists.offsets.to_numpy()
+                begins, ends = offsets[:-1].astype(np.int64), offsets[1:].astype(np.int64)
                 own = np.minimum(ends - (numbers[begins] - 1), ends - size + 1) - begins - 1
                 own = np.maximum(own, 0)
                 total = int(own.sum())
                 at = np.arange(total) + np.repeat(begins + 1 - (np.cumsum(own) - own), own)
-                weights = np.repeat(np.array(counts, dtype=np.int64), own)
+                weights = np.repeat(counts, own)
                 if may_be is not None and total:
                     parts = may_be(part_hashes(places.words.hashes[numbers], size - 1))
                     both = parts[at] & parts[at + 1]

@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -331,3 +332,31 @@ def test_spelling_of_awkward_rows(docs, none):
     rows = spelling.spelling_variants(docs).collect()
     assert {r["word"]: r["n"] for r in rows} == {w: n for w, n in brute_counts(AWKWARD).items() if n >= 3}
     assert spelling.spelling_variants(none).count() == 0
+
+
+def test_chunks_are_cut_into_words_a_distinct_word_at_a_time(spark, monkeypatch):
+    """Chunks of few words: what Python looks up are their distinct words, many chunks at once."""
+    looked: list[int] = []
+
+    class Counted(phrases.Words):
+        def numbers(self, words):
+            looked.append(len(words))
+            return super().numbers(words)
+
+    monkeypatch.setattr(phrases, "Words", Counted)
+    monkeypatch.setattr(phrases, "summed", lambda rows, run: run)
+    monkeypatch.setattr(phrases, "named", lambda sums: sums)
+    chunks = [f"{i % 3} w{i % 7} x{i % 11} y{i % 13}" for i in range(3_000)]
+    cols = {"lang": ["en", "de"] * 1_500, "text": chunks, "n": [1 + i % 4 for i in range(3_000)]}
+    batches = pa.table(cols).to_batches(500)
+    wanted: Counter = Counter()
+    for lang, chunk, n in zip(cols["lang"], chunks, cols["n"]):
+        digit, *words = chunk.split()
+        for at in range(min(len(words) - int(digit), len(words) - 1)):
+            wanted[f"{lang}\t{words[at]} {words[at + 1]}"] += n
+    got: Counter = Counter()
+    for batch in phrases.count_phrases(None, 2, None)(iter(batches)):
+        for key, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            got[key.decode()] += n
+    assert got == wanted
+    assert sum(looked) < 500  # 3,000 chunks of 4 words before
