@@ -8,7 +8,8 @@ rest plus that token, so a prefix that many words share is worked out once. A
 word's last symbol carries the end-of-word mark and so has a node of its own.
 
 Normalising, splitting and special tokens go by the tokenizer's own file. Words
-that a task knows are looked up, up to a bound. Row-local, without shuffle.
+that a task knows are looked up, up to a bound: of two generations the older goes,
+less what was met again. Row-local, without shuffle.
 
 Defined results: NULL and empty texts have no tokens; repeated rows are encoded
 each; NULL ids are carried; other columns are ignored.
@@ -23,6 +24,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,8 +37,8 @@ from folioflow.llm.batches import measure
 # Texts of these characters are normalised and split here; others by the library.
 # The blanks among them end every word.
 COMMON = re.compile(r"[\t\n\r -~\xa0-\u024f\u2010-\u201f\u2026\u20ac]*")
-KNOWN_WORDS = 500_000
-KNOWN_CHARS = 64_000_000  # of words, their ids and their decoded texts
+KNOWN_WORDS = 120_000  # of a generation
+KNOWN_CHARS = 16_000_000  # of its words, their ids and their decoded texts
 KNOWN_PAIRS = 300_000
 
 # Byte-level vocabularies write a byte as a printable character: most of Latin-1
@@ -220,9 +222,9 @@ class Codec:
     """Encodes and decodes texts as the tokenizer in a file does."""
 
     def __init__(self, path: str) -> None:
+        self.path = path
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        self.library = Tokenizer.from_str(json.dumps(content))
         self.vocabulary = Vocabulary(content["model"])
         self.trie = WordTrie(self.vocabulary)
         self.specials = {t["content"]: t["id"] for t in content["added_tokens"]}
@@ -235,9 +237,15 @@ class Codec:
         self.always = {c: (struct.pack("<I", i), c.encode()) for c, i in self.specials.items()}
         self.always[""] = b"", b""  # a text without words
         self.known: dict[str, tuple[bytes, bytes]] = dict(self.always)
+        self.older: dict[str, tuple[bytes, bytes]] = {}  # the generation before
         self.held = 0
         self.by_library: set[str] = set()  # words that the library has cut
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """For uncommon texts; most tasks never load it."""
+        return Tokenizer.from_file(self.path)
+
     def _clean(self, text: str) -> str:
         """The text in stretches between blanks, each of whole words; special tokens
         are stretches of their own, as they stand in the text."""
@@ -272,6 +280,10 @@ class Codec:
             cut = {s: found for s in stretches if not (s.isalpha() or s in whole) and (found := find(s)) != [s]}
             words = stretches.difference(cut).union(*cut.values()).difference(known)
             whole.clear()
+            for word in words.intersection(self.older):
+                known[word] = a, b = self.older[word]
+                self.held += len(word) + len(a) + len(b)
+            words.difference_update(self.older)
             as_bytes = {w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(TO_BYTES): w for w in words}
             for coded, ids in self.trie.encode(as_bytes):
                 known[as_bytes[coded]] = a, b = struct.pack(f"<{len(ids)}I", *ids), b" ".join([texts[i] for i in ids])
@@ -291,7 +303,7 @@ class Codec:
         coded = stretches.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) > KNOWN_WORDS or self.held > KNOWN_CHARS:
-            self.known = dict(self.always)
+            self.older, self.known = self.known, dict(self.always)
             self.held = 0
         several = self._learn(set(distinct).difference(self.known))
         made = [several[s] if s in several else self.known[s] for s in distinct]

@@ -28,9 +28,11 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from folioflow.llm.batches import keep, measure
 
@@ -226,7 +228,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> l
         chosen = [*chosen[: max(1, settings.sample_docs - len(others))], *others]
     if not chosen:
         return []
-    kept = docs.sparkSession.createDataFrame(chosen, ids.schema)
+    kept = small_frame(docs.sparkSession, chosen, ids.schema)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     found = (
         docs.select(F.col("doc_id").alias("_id"), "text", lang.alias("_lang"))
@@ -243,6 +245,18 @@ def first_ids(ids: DataFrame, n: int) -> list:
     return ids.orderBy(F.xxhash64("_id"), "_id").limit(n).collect()
 
 
+def small_frame(spark: SparkSession, rows: list, schema: StructType) -> DataFrame:
+    """The rows as a local table. From a list, Spark would start a second set of Python
+    workers on each executor to read them."""
+    columns = []
+    for place, field in enumerate(schema.fields):
+        kind, values = to_arrow_type(field.dataType), [r[place] for r in rows]
+        if isinstance(field.dataType, TimestampType):  # collected in local time
+            values = [v if v is None else v.astimezone() for v in values]
+        columns.append(pa.array(values, kind))
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
+
+
 def document_frequency_scores(
     places: list[np.ndarray], toxic: np.ndarray, pieces: np.ndarray, buckets: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -388,8 +402,8 @@ def score_counts(docs: DataFrame, labels: DataFrame, model: Model, least_positiv
     language, are added up under NULL. A row that is there twice counts twice.
     """
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
-    learned = docs.sparkSession.createDataFrame(
-        [(i,) for i in model.learned], StructType([StructField("_id", docs.schema["doc_id"].dataType)])
+    learned = small_frame(
+        docs.sparkSession, [(i,) for i in model.learned], StructType([StructField("_id", docs.schema["doc_id"].dataType)])
     )
     rows = (
         docs.select(F.col("doc_id").alias("_id"), "text", lang.cast("string").alias("_lang"))

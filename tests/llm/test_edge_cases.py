@@ -2,6 +2,7 @@
 
 import random
 import struct
+import weakref
 
 import duckdb
 import numpy as np
@@ -343,3 +344,63 @@ def test_known_words_are_forgotten_over_their_characters(monkeypatch):
     got = [again([t]) for t in texts]
     assert [g["ids_sha256"][0] for g in got] == wanted["ids_sha256"]
     assert struct.calcsize("<I") == 4
+
+
+# What workers hold
+
+
+def test_codec_holds_two_generations_of_words():
+    import public_tokenizers
+
+    codec = bpe_trie.Codec(public_tokenizers.path("word_bpe_49k.json"))
+    many = 20_000
+    for at in range(0, 15 * many, many):
+        codec([" ".join("w" + np.base_repr(i, 26).translate(str.maketrans("0123456789", "qrstuvwxyz")) for i in range(at, at + many)).encode()])
+        assert len(codec.known) + len(codec.older) <= 300_000
+    assert "library" not in vars(codec)
+
+
+def test_words_met_again_move_to_the_new_generation(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe_trie, "KNOWN_WORDS", 3)
+    codec = bpe_trie.Codec(public_tokenizers.path("word_bpe_49k.json"))
+    first = codec([b"alpha beta gamma delta"])
+    encoded = []
+    encode = codec.trie.encode
+    monkeypatch.setattr(codec.trie, "encode", lambda words: encode(encoded.extend(words) or words))
+    assert codec([b"alpha beta gamma delta"]) == first
+    codec([b"alpha omega"])
+    assert encoded == ["omega"]
+
+
+def test_batches_reach_a_kernel_in_bounded_bytes(spark):
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100_000).alias("text"))
+    held = batches.measure(
+        docs, ["doc_id"], "text", lambda: lambda texts: {"n": [pa.total_allocated_bytes()] * len(texts)}, "n BIGINT"
+    )
+    assert held.agg(F.max("n")).first()[0] < 25_000_000
+    assert held.count() == 400
+
+
+def test_memory_is_given_back_when_a_task_ends(monkeypatch):
+    made, alive = [], []
+    monkeypatch.setattr(batches, "give_back", lambda: alive.extend(ref() for ref in made))
+
+    def run(parts):
+        kernel = {1}
+        made.append(weakref.ref(kernel))
+        yield from parts
+
+    assert list(batches.leaving_nothing(run)(iter([1, 2]))) == [1, 2]
+    assert alive == [None]
+
+
+def test_small_frames_need_no_python(spark):
+    schema = "_id TIMESTAMP, n DECIMAL(9,2), s STRING"
+    rows = spark.sql("SELECT timestamp'2024-07-01 12:00:00' _id, 1.50BD n, 'a' s UNION ALL SELECT NULL, NULL, NULL").to(
+        spark.createDataFrame([], schema).schema
+    )
+    made = toxicity.small_frame(spark, rows.collect(), rows.schema)
+    assert "LocalTableScan" in made._jdf.queryExecution().toString()
+    assert made.schema == rows.schema and made.exceptAll(rows).isEmpty() and made.count() == 2
