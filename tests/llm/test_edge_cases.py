@@ -374,13 +374,15 @@ def test_words_met_again_move_to_the_new_generation(monkeypatch):
     assert encoded == ["omega"]
 
 
-def test_batches_reach_a_kernel_in_bounded_bytes(spark):
+def test_batches_reach_python_in_bounded_bytes(spark):
     docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100_000).alias("text"))
-    held = batches.measure(
-        docs, ["doc_id"], "text", lambda: lambda texts: {"n": [pa.total_allocated_bytes()] * len(texts)}, "n BIGINT"
-    )
-    assert held.agg(F.max("n")).first()[0] < 25_000_000
-    assert held.count() == 400
+    measured = batches.measure(docs, ["doc_id"], "text", lambda: lambda texts: {"n": list(map(len, texts))}, "n BIGINT")
+    assert measured.agg(F.sum("n")).first()[0] == 400 * 100_000
+
+    def sizes(parts):
+        return (pa.RecordBatch.from_pydict({"n": [part.nbytes]}) for part in parts)
+
+    assert docs.mapInArrow(sizes, "n BIGINT").agg(F.max("n")).first()[0] < 2 * batches.SLICE_BYTES
 
 
 def test_memory_is_given_back_when_a_task_ends(monkeypatch):
