@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import run_lengths, term_buckets, words
+from folioflow.functions.terms import term_buckets, term_counts
+from folioflow.functions.text import words
 
 # Ours: the reference names the fixed-size strategy but no sizes in words.
 CHUNK_WORDS = 60
@@ -53,24 +54,19 @@ def hash_vectors(texts: DataFrame, id_column: str, dims: int = DIMS) -> DataFram
     (id, terms ARRAY<INT>): the bucket of every lower-cased word, repeats kept,
     so frequencies and lengths are whole numbers wherever they are summed up.
     """
-    return texts.select(
-        F.col(id_column).alias("id"), term_buckets(words(F.lower("text")), dims).alias("terms")
-    )
+    return texts.select(F.col(id_column).alias("id"), term_buckets(dims)(F.lower("text")).alias("terms"))
 
 
 def embed_chunks(chunks: DataFrame, dims: int = DIMS) -> DataFrame:
     """Unit-length hashed vectors in long form: (chunk_id, bucket, tf, weight).
 
-    Frequencies are counted inside the row, so nothing is shuffled.
+    Frequencies are counted inside the row, so nothing is shuffled. The norm is made
+    before the rows of terms: beside a generator it would be made again for each of them.
     """
-    counted = hash_vectors(chunks, "chunk_id", dims).select(
-        "id", run_lengths(F.sort_array("terms")).alias("runs")
-    )
-    norm = F.sqrt(
-        F.aggregate("runs", F.lit(0.0), lambda acc, r: acc + (r["tf"] * r["tf"]).cast("double"))
-    )
+    counted = hash_vectors(chunks, "chunk_id", dims).select("id", term_counts()("terms").alias("counts"))
+    normed = counted.select("id", F.sqrt(F.col("counts.norm2").cast("double")).alias("norm"), F.col("counts.runs").alias("runs"))
     return (
-        counted.select(F.col("id").alias("chunk_id"), norm.alias("norm"), F.explode_outer("runs").alias("v"))
+        normed.select(F.col("id").alias("chunk_id"), "norm", F.explode_outer("runs").alias("v"))
         .filter(F.col("v").isNotNull())
         .select(
             "chunk_id",

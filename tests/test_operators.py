@@ -1,5 +1,6 @@
 """Cases with known answers on small rows."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from folioflow import schemas
 from folioflow.functions.pii import RedactionSettings
 from folioflow.functions.ranking import position_in_group
+from folioflow.functions.text import words
 from folioflow.operators import cache, chunks, classify, extract, failures, limits, memory, passages, redact, route, search, screen
 from folioflow.plans import ask, ingest
 from folioflow.sources import sinks
@@ -372,3 +374,29 @@ def test_chunks_are_embedded_by_a_model_of_the_task(spark):
     assert {r.chunk_id: list(r.embedding) for r in chunks.embed_with_model(parts, make, 2).collect()} == {"a:0": [2.0, 1.0], "a:1": [1.0, 1.0]}
     with pytest.raises(Exception, match="do not have 3 values"):
         chunks.embed_with_model(parts, make, 3).collect()
+
+
+def test_chunks_are_hashed_once(spark):
+    many = "to be  or not\tTO be \u00c9 " + "be " * 50_000
+    rows = [("a:0", many), ("a:0", "to"), (None, "to"), ("b:0", " \u2003"), ("b:1", ""), ("b:2", None)]
+    got = chunks.embed_chunks(spark.createDataFrame(rows, "chunk_id string, text string"), 1 << 20)
+    bucket = {w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % (1 << 20) for w in ("to", "be", "or", "not", "\u00e9")}
+    counts = {"to": 2, "be": 50_002, "or": 1, "not": 1, "\u00e9": 1}
+    norm = math.sqrt(sum(n * n for n in counts.values()))
+    want = [("a:0", bucket[w], n, n / norm) for w, n in counts.items()] + [("a:0", bucket["to"], 1, 1.0), (None, bucket["to"], 1, 1.0)]
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    # What is made of a whole chunk must not be made beside its terms, once for each of them.
+    assert "lambda" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_split_alike_in_both_engines(spark):
+    odd = [chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    rows = [(c + "a" + c + c + "b" + c,) for c in odd]
+    texts = spark.createDataFrame(rows, "text string").select(F.lower("text").alias("text"))
+    hashed = chunks.hash_vectors(texts, "text").collect()
+    split = {r.text: r.w for r in texts.select("text", words(F.col("text")).alias("w")).collect()}
+    made = Counter(len(split[r.id]) for r in hashed)
+    assert len(hashed) == len(rows) and set(made) == {1, 2} and made[2] == 29
+    for r in hashed:
+        assert split[r.id] == r.id.split()
+        assert r.terms == [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 1024 for w in split[r.id]]
